@@ -1,0 +1,23 @@
+"""Size checks that choose between a small-side and a large-side strategy."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# Rows of a few short columns that every executor can hold without strain.
+BROADCAST_ROWS = 200_000
+
+
+def fits(df: DataFrame, rows: int) -> bool:
+    """Whether the frame has at most ``rows`` rows; reads no more than needed to tell."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a side for broadcast after counting it; leave it to a shuffle join otherwise."""
+    return F.broadcast(df) if fits(df, rows) else df
+
+
+def largest_group(df: DataFrame, *keys: str) -> int:
+    """Row count of the largest group."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0

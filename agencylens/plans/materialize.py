@@ -1,0 +1,31 @@
+"""Cutting lineage through a written table in the cluster's shared folder."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="agencylens-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame once as parquet in the shared folder and read it back.
+
+    The result survives lost executors, and its readers prune columns and rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
