@@ -27,14 +27,17 @@ def entries_from_snapshots(
     country: int | None = 1,
     from_segment: int = FROM_SEGMENT,
     to_segment: int = TO_SEGMENT,
-    look_back: int = 2,
+    first_period: int | None = None,
 ) -> DataFrame:
     """Entities whose record changed from one segment to the other into ``period``.
 
     Rows are filtered first and de-duplicated after, so a record in a third
-    segment does not count as the period's last record.
+    segment does not count as the period's last record. ``first_period``
+    defaults to ``period - 2``, which reaches no earlier year; give the calendar's
+    period two back (``calendar.find_period_around``) where that matters.
     """
-    wanted = F.col("period").between(period - look_back, period) & F.col("segment").isin(from_segment, to_segment)
+    first = period - 2 if first_period is None else first_period
+    wanted = F.col("period").between(first, period) & F.col("segment").isin(from_segment, to_segment)
     if country is not None:
         wanted = wanted & (F.col("country") == country)
     last = latest_per_key(snapshot.where(wanted), ("period", *KEY), order_by, tie_break)
