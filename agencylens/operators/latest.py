@@ -22,6 +22,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     return df.withColumn("_position", position).where("_position = 1").drop("_position")
 
 
+def ranked_record(order_by: Sequence[str], tie_break: Sequence[str], take: Sequence[str]) -> Column:
+    """Struct whose maximum over a group is the group's last record.
+
+    Fields are the ordering, the tie-break, then the payload, so even full ties
+    resolve the same way every time. NULL sorts lowest inside a struct, as it
+    does last in descending order.
+    """
+    return F.struct(*[F.col(c) for c in dict.fromkeys((*order_by, *tie_break, *take))])
+
+
 def latest_with_aggregates(
     df: DataFrame,
     keys: Sequence[str],
@@ -32,10 +42,8 @@ def latest_with_aggregates(
 ) -> DataFrame:
     """Columns ``take`` of the last row per key, plus aggregates over all rows of the key.
 
-    One pass and one shuffle: the last row is the largest
-    ``(order_by, tie_break, take)`` struct, which combines map-side like the
-    sums do. NULL sorts lowest inside a struct, as it does last-in-descending.
+    One pass and one shuffle: the last record is a maximum, which combines
+    map-side like the sums do.
     """
-    ranked = F.struct(*[F.col(c) for c in dict.fromkeys((*order_by, *tie_break, *take))])
-    grouped = df.groupBy(*keys).agg(F.max(ranked).alias("_last"), *aggregates)
+    grouped = df.groupBy(*keys).agg(F.max(ranked_record(order_by, tie_break, take)).alias("_last"), *aggregates)
     return grouped.select("*", *[F.col("_last").getField(c).alias(c) for c in take]).drop("_last")

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.amounts import flag
-from ..operators.latest import latest_with_aggregates
-from ..operators.ledger import ledger_by_entity_period
+from ..functions.amounts import flag, positive_sum
+from ..operators.latest import ranked_record
+from ..operators.ledger import with_plan_flag
 from ..operators.transitions import ever, with_arrears_roll, with_required_payment, with_segment_transitions
 
 SNAPSHOT_FIELDS = (
@@ -20,40 +20,28 @@ SNAPSHOT_FIELDS = (
     "n_actions",
     "n_actions_unpaid",
 )
+LEDGER_FIELDS = ("agency", "plan_active")
 
 
-def snapshot_timeline(
-    snapshot: DataFrame,
-    start_period: int,
-    segments: Sequence[int],
-    order_by: Sequence[str],
-    tie_break: Sequence[str],
-    as_of_period: int | None = None,
-) -> DataFrame:
-    """Last record per entity and period of the population, with its movements.
-
-    The population (entities seen in the segments after ``start_period``) is a
-    flag aggregated along with the last record and spread over the entity's
-    timeline, which saves a second scan of the snapshots and a join. Rows are
-    cut to one per entity and period before anything is shuffled by entity, so
-    an entity with very many records does not burden one task.
-    ``as_of_period`` hides later periods from the look-ahead columns.
-    """
-    seen = snapshot.where(F.col("period") >= start_period)
+def _snapshot_side(snapshot, start_period, segments, order, as_of_period) -> DataFrame:
+    seen = snapshot.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull())
     if as_of_period is not None:
         seen = seen.where(F.col("period") <= as_of_period)
     belongs = (F.col("period") > start_period) & F.col("segment").isin(list(segments))
-    closing = latest_with_aggregates(
-        seen.where(F.col("entity_id").isNotNull()),
-        keys=("entity_id", "period"),
-        order_by=order_by,
-        take=SNAPSHOT_FIELDS,
-        aggregates=[F.max(belongs).alias("_belongs")],
-        tie_break=tie_break,
+    return seen.select("entity_id", "period", ranked_record(*order, SNAPSHOT_FIELDS).alias("_record"), belongs.alias("_belongs"))
+
+
+def _ledger_side(ledger, start_period, order) -> DataFrame:
+    usable = ledger.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull() & F.col("agency").isNotNull())
+    return with_plan_flag(usable).select(
+        "entity_id",
+        "period",
+        ranked_record(*order, LEDGER_FIELDS).alias("_entry"),
+        positive_sum("capital", "interest").alias("collected"),
+        "auto_charge",
+        "captation",
+        "manager",
     )
-    timeline = with_required_payment(closing.withColumn("_population", ever(F.col("_belongs"))))
-    timeline = with_segment_transitions(with_arrears_roll(timeline), segments)
-    return timeline.where("_population").drop("_population", "_belongs", "last_payment", "last_arrears_payment")
 
 
 def with_outcome_flags(history: DataFrame) -> DataFrame:
@@ -75,15 +63,47 @@ def history_base(
     ledger_order: tuple[Sequence[str], Sequence[str]],
     as_of_period: int | None = None,
 ) -> DataFrame:
-    """Client-period history: snapshots with movements, joined to the ledger.
+    """Client-period history: last snapshot records with movements and recoveries.
 
-    Entity-periods without ledger rows are left out. The ``*_order`` arguments
-    are (ordering columns, tie-break columns) of the last record.
+    The population is every entity seen in the segments after ``start_period``;
+    it is a flag aggregated along with the last record and spread over the
+    entity's timeline, which saves a second scan of the snapshots and a join.
+    Rows are one per entity and period before anything is shuffled by entity,
+    so an entity with very many records does not burden one task, and the result
+    stays laid out by entity for the aggregations that follow.
+
+    Entity-periods without ledger rows are left out at the end, after they have
+    served as neighbours. The ``*_order`` arguments are (ordering columns,
+    tie-break columns) of the last record. ``as_of_period`` hides later periods
+    from the look-ahead columns.
     """
-    timeline = snapshot_timeline(snapshot, start_period, segments, *snapshot_order, as_of_period)
-    recovered = ledger_by_entity_period(ledger.where(F.col("period") >= start_period), *ledger_order)
-    # The timeline is already laid out by entity. Bringing the summed ledger to
-    # the same layout lets the join, and every later aggregation whose keys
-    # include the entity, run without moving the wide history again.
-    joined = timeline.join(recovered.repartition("entity_id"), on=["entity_id", "period"], how="inner")
-    return with_outcome_flags(joined)
+    # Both sources are cut to one row per entity and period in one aggregation
+    # over their union: one shuffle for both, and no join of the two afterwards.
+    sides = _snapshot_side(snapshot, start_period, segments, snapshot_order, as_of_period).unionByName(
+        _ledger_side(ledger, start_period, ledger_order), allowMissingColumns=True
+    )
+    by_period = sides.groupBy("entity_id", "period").agg(
+        F.max("_record").alias("_record"),
+        F.max("_belongs").alias("_belongs"),
+        F.max("_entry").alias("_entry"),
+        F.sum("collected").alias("collected"),
+        F.sum("auto_charge").alias("auto_charge"),
+        F.sum("captation").alias("captation"),
+        F.countDistinct("manager").alias("n_managers"),
+    )
+    observed = by_period.where(F.col("_record").isNotNull()).select(
+        "entity_id",
+        "period",
+        *[F.col("_record").getField(c).alias(c) for c in SNAPSHOT_FIELDS],
+        *[F.col("_entry").getField(c).alias(c) for c in LEDGER_FIELDS],
+        "collected",
+        "auto_charge",
+        "captation",
+        "n_managers",
+        ever(F.col("_belongs")).alias("_population"),
+    )
+    moved = with_segment_transitions(with_arrears_roll(with_required_payment(observed)), segments)
+    recovered = moved.where(F.col("_population") & F.col("agency").isNotNull())
+    return with_outcome_flags(
+        recovered.withColumn("paid", flag(F.col("collected") > 0)).drop("_population", "last_payment", "last_arrears_payment")
+    )

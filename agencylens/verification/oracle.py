@@ -632,12 +632,12 @@ def statements() -> dict[str, str]:
         "agency_history_rollup": v(
             ("v_ledger", "v_cash"),
             _ROLLUP,
-            f"""SELECT agency, segment, round(avg(n_clients), 6) AS avg_clients, max(n_clients) AS max_clients,
-                round({_d("sum(capital)")} / count(capital), 6) AS avg_capital, round({_d("sum(capital)")}, 6) AS total_capital,
-                round({_d("sum(payment_paid)")} / count(payment_paid), 6) AS avg_payment_paid,
-                round({_d("sum(capital)")} / nullif({_d("sum(n_actions)")}, 0), 6) AS capital_per_action,
-                round(avg(late), 6) AS avg_days_late, round(max(late), 6) AS worst_week_days_late,
-                round(avg(n_actions), 6) AS avg_actions, round(avg(n_payments), 6) AS avg_payments,
+            f"""SELECT agency, segment, avg(n_clients) AS avg_clients, max(n_clients) AS max_clients,
+                {_d("sum(capital)")} / count(capital) AS avg_capital, {_d("sum(capital)")} AS total_capital,
+                {_d("sum(payment_paid)")} / count(payment_paid) AS avg_payment_paid,
+                {_d("sum(capital)")} / nullif({_d("sum(n_actions)")}, 0) AS capital_per_action,
+                round(avg(late), 6) AS avg_days_late, max(late) AS worst_week_days_late,
+                avg(n_actions) AS avg_actions, avg(n_payments) AS avg_payments,
                 round(stddev_samp(CAST(capital AS DOUBLE)), 2) AS capital_volatility, round(avg(commission), 6) AS avg_commission
                 FROM weeks GROUP BY agency, segment""",
         ),

@@ -436,5 +436,6 @@ def cohort_followup(spark, sf_dir):
 @_query
 def agency_history_rollup_query(spark, sf_dir):
     rolled = agency_history_rollup(views.ledger(spark, sf_dir), views.cash(spark, sf_dir), LOOK_BACK, *views.CASH_ORDER)
-    digits = {c: 6 for c in rolled.columns if c not in ("agency", "segment", "max_clients")} | {"capital_volatility": 2}
-    return rolled.withColumns({c: F.round(F.col(c).cast("double"), d) for c, d in digits.items()})
+    # only these add up doubles, in whatever order rows arrive
+    digits = {"avg_days_late": 6, "avg_commission": 6, "capital_volatility": 2}
+    return rolled.withColumns({c: F.round(c, d) for c, d in digits.items()})

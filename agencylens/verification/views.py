@@ -21,9 +21,22 @@ CASH_ORDER = (("paid_at",), ("order_id", "line", "manager", "price"))
 EVENT_ORDER = (("opened_at",), ("record_id",))
 
 
+# Schemas of the given tables: declared, so that no job reads footers to infer them.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def quarter_period(day: str) -> Column:
