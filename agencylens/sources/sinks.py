@@ -25,8 +25,7 @@ def save_table(
     if partition_by and bucket_by is None:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if keep_other_partitions and df.sparkSession.catalog.tableExists(name):
-        stored_order = df.select(*df.sparkSession.table(name).columns)
-        stored_order.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        _replace_partitions(df, name)
         return
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
@@ -36,6 +35,17 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def _replace_partitions(df: DataFrame, name: str) -> None:
+    """Overwrite only the partitions that occur in ``df``."""
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")  # insertInto takes it from the session only
+    try:
+        df.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        conf.set(mode, before)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write CSV part files with a header, in parallel."""
     df.write.mode("overwrite").option("header", True).csv(path)
