@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.keys import key_parts
 from ..functions.periods import period_distance
-from .bounds import broadcast_if_small
 from .latest import latest_per_key
 
 KEY = ("country", "channel", "branch", "folio")
@@ -97,7 +96,7 @@ def balance_at_close(balances: DataFrame, calendar: DataFrame, start_period: int
     )
     return (
         balances.where(F.col("principal_balance") >= 0)
-        .join(broadcast_if_small(closing), on="registered_on", how="inner")
+        .join(closing, on="registered_on", how="inner")
         .groupBy("period", *KEY)
         .agg(
             F.sum("total_balance").alias("total_balance"),

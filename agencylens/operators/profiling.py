@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    pairs = texts.unpivot([], list(columns), "column", "value")
+    return pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -42,7 +42,7 @@ def with_ranks(
     give it a stored table rather than a long plan.
     """
     if method == "auto":
-        method = "window" if largest_group(df, group) <= GROUP_ROWS else "split"
+        method = choose_method(df, group)
     if method == "window":
         return _by_window(df, group, directions, percent, suffix)
     if method == "split":
@@ -50,6 +50,11 @@ def with_ranks(
     raise ValueError(f"unknown method {method!r}")
 
 
+def choose_method(df: DataFrame, group: str) -> str:
+    """``window`` while the largest group is small enough for one task, else ``split``."""
+    return "window" if largest_group(df, group) <= GROUP_ROWS else "split"
+
+
 def _ordered(column: str | Column, direction: int) -> Column:
     value = F.col(column) if isinstance(column, str) else column
     return value.desc_nulls_last() if direction == 1 else value.asc_nulls_last()

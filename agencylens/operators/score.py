@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import score_band_label
-from .ranking import with_ranks
+from .ranking import choose_method, with_ranks
 from .ratios import AGENCY_SEGMENT
 
 
@@ -55,6 +55,8 @@ def agency_score(
         raise ValueError("none of the active metrics is a column of the input")
     total = sum(m.weight for m in used.values())
 
+    if method == "auto":
+        method = choose_method(df, "segment")
     ranked = with_ranks(
         df, "segment", {c: m.direction * flip for c, m in used.items()}, AGENCY_SEGMENT, True, "_percent_rank", method
     )

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.amounts import clamp_at_zero, flag
 from ..functions.geo import great_circle_m
 from ..functions.periods import minutes_between
-from .bounds import broadcast_if_small
 
 # Contact types and defaults.
 DIRECT_CONTACT = "contacto_directo"
@@ -36,9 +35,10 @@ def with_contact_type(visits: DataFrame, code_map: DataFrame) -> DataFrame:
     """Add ``contact_type`` by joining (visit code, result code) to the code map.
 
     ``code_map`` has one row per code pair (see ``sources.codes``), so the join
-    never multiplies rows. Unknown pairs get ``sin_info``.
+    never multiplies rows, and its size is known to the planner, which
+    broadcasts it below its threshold. Unknown pairs get ``sin_info``.
     """
-    types = broadcast_if_small(code_map.select("visit_code", "result_code", F.col("contact_type").alias("_type")))
+    types = code_map.select("visit_code", "result_code", F.col("contact_type").alias("_type"))
     return (
         visits.join(types, on=["visit_code", "result_code"], how="left")
         .withColumn("contact_type", F.coalesce("_type", F.lit(NO_INFO)))
