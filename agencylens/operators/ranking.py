@@ -22,6 +22,8 @@ from .bounds import broadcast_if_small, largest_group
 # Rows of one group that a single task sorts without trouble.
 GROUP_ROWS = 2_000_000
 BUCKETS = 256
+# Cut arrays that may be broadcast: some 20 MB.
+CUT_ROWS = 10_000
 
 
 def with_ranks(
@@ -87,7 +89,8 @@ def _by_split(df, group, directions, keys, percent, suffix):
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_value")))
     # NULL sorts behind every bucket
     bucket = F.when(F.col("_value").isNull(), BUCKETS).otherwise(F.coalesce(below, F.lit(0)))
-    bucketed = counted.join(broadcast_if_small(cuts), on=[group, "_metric"]).withColumn("_bucket", bucket).drop("_cuts")
+    # one array of cuts per group and metric: a few kilobytes each
+    bucketed = counted.join(broadcast_if_small(cuts, CUT_ROWS), on=[group, "_metric"]).withColumn("_bucket", bucket).drop("_cuts")
 
     per_bucket = bucketed.groupBy(group, "_metric", "_bucket").agg(F.sum("_n").alias("_in_bucket"))
     by_metric = Window.partitionBy(group, "_metric")

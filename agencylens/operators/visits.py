@@ -87,11 +87,16 @@ def visit_counts(visits: DataFrame, start_period: int, codes_from: int = ACTION_
     return visits.where(chosen).groupBy("entity_id", "period").agg(F.count(F.lit(1)).alias("n_visits"))
 
 
+def typed_contacts(visits: DataFrame, code_map: DataFrame, min_minutes: float, clamp: bool = True) -> DataFrame:
+    """Valid field visits with contact type and flags."""
+    valid = valid_on_site(visits.where(is_field_visit()), min_minutes, clamp)
+    return with_contact_flags(with_contact_type(valid, code_map))
+
+
 def contacts_by_entity_period(visits: DataFrame, code_map: DataFrame, min_minutes: float, clamp: bool = True) -> DataFrame:
     """Valid field visits per entity and period: visits, direct and effective contacts."""
-    valid = valid_on_site(visits.where(is_field_visit()), min_minutes, clamp)
     return (
-        with_contact_flags(with_contact_type(valid, code_map))
+        typed_contacts(visits, code_map, min_minutes, clamp)
         .groupBy("entity_id", "period")
         .agg(
             F.count(F.lit(1)).alias("n_visits"),

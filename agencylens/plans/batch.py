@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.calendar import find_period_around
 from ..operators.score import agency_score
 from ..sources.sinks import save_table
-from .dataset import agency_base, agency_dataset, agency_features, agency_profile
+from .dataset import Store, agency_base, agency_dataset, agency_features, agency_profile
 from .history import history_base
 from .materialize import materialize
 
@@ -55,12 +55,17 @@ def get_dataset(
     segments: Sequence[int],
     as_of_ms: int,
     n_periods: int = 12,
+    store: Store = materialize,
 ) -> tuple[DataFrame, DataFrame]:
-    """(history, agency data set); history is written once and read back for the features."""
-    history = materialize(reported_history(inputs, pivot, start, look_back, segments), "history")
+    """(history, agency data set).
+
+    ``store`` keeps the history, which is an output and the input of the
+    features, so that it is computed once.
+    """
+    history = store(reported_history(inputs, pivot, start, look_back, segments), "history")
     base = agency_base(inputs.agency_segments, inputs.agency_master, segments)
     features = agency_features(history, segments, n_periods, store=materialize)
-    return history, agency_dataset(agency_profile(base, as_of_ms, segments), features)
+    return history, agency_dataset(agency_profile(base, as_of_ms, segments, materialize), features)
 
 
 def run_batch(
@@ -74,11 +79,17 @@ def run_batch(
 ) -> None:
     """Build and save ``<table_out>_history`` and ``<table_out>``; errors propagate.
 
-    History is stored by period, so a later run prunes to the periods it needs.
+    History is written once, by period, and the features read that table: later
+    runs prune to the periods they need.
     """
+    history_table = f"{table_out}_history"
+
+    def keep(history: DataFrame, _: str) -> DataFrame:
+        save_table(history, history_table, partition_by=("period",))
+        return history.sparkSession.table(history_table)
+
     start, look_back = period_bounds(inputs.calendar, pivot, n_periods)
-    history, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods)
-    save_table(history, f"{table_out}_history", partition_by=("period",))
+    _, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods, keep)
     save_table(dataset, table_out)
     if scored_table is not None:
         stored = dataset.sparkSession.table(table_out)

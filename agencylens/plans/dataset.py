@@ -22,10 +22,18 @@ def agency_base(agency_segments: DataFrame, agency_master: DataFrame, segments:
     return chosen.join(agency_master, on="agency", how="left")
 
 
-def agency_profile(base: DataFrame, as_of_ms: int, segments: Sequence[int] | None = None) -> DataFrame:
-    """Clean, impute, bound and validate the agency base."""
-    cleaned = quality.drop_sparse_rows(base)
-    cleaned = quality.fill_missing(cleaned, {"external_company": ""})
+def agency_profile(
+    base: DataFrame, as_of_ms: int, segments: Sequence[int] | None = None, store: Store | None = None
+) -> DataFrame:
+    """Clean, impute, bound and validate the agency base.
+
+    Outlier cuts and medians each need the whole base before any row is done;
+    ``store`` keeps the joined base, so that the join is not repeated for them.
+    """
+    dense = quality.drop_sparse_rows(base)
+    if store is not None:
+        dense = store(dense, "agency-base")
+    cleaned = quality.fill_missing(dense, {"external_company": ""})
     cleaned = quality.null_outliers(quality.repair_status_dates(cleaned, as_of_ms))
     complete = quality.enforce_capacity_bounds(quality.impute_group_medians(cleaned, groups=segments))
     return quality.with_capacity_ratios(quality.with_tenure(quality.with_field_validity(complete)))

@@ -323,7 +323,7 @@ def tenure_days(spark, sf_dir):
 
 
 def _profile(spark, sf_dir):
-    return agency_profile(_base(spark, sf_dir), AS_OF_MS, ALL_SEGMENTS)
+    return agency_profile(_base(spark, sf_dir), AS_OF_MS, ALL_SEGMENTS, store=materialize)
 
 
 @_query

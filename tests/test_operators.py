@@ -393,3 +393,21 @@ def test_weighted_rollup_equals_the_row_join(spark):
         F.avg("balance_at_close").alias("avg_balance"), F.sum("n_payments_paid").alias("n_payments"),
     ).first()
     assert {k: week[k] for k in joined.asDict()} == joined.asDict()
+
+
+def test_contacts_and_collected_amounts(spark):
+    data = [
+        ("a", 1, 9, 3, "19.0", "-99.0", "19.0", "-99.0", 0, 120_000),
+        ("a", 1, 3, 2, "19.0", "-99.0", "19.0", "-99.0", 0, 120_000),
+        ("a", 1, 50, 0, "19.0", "-99.0", "19.0", "-99.0", 0, 120_000),
+        ("a", 1, 800, 0, "19.0", "-99.0", "19.0", "-99.0", 0, 120_000),
+    ]
+    df = spark.createDataFrame(
+        data,
+        "entity_id string, period int, visit_code int, result_code int, agent_lat string, agent_lon string, "
+        "client_lat string, client_lon string, start_ms long, end_ms long",
+    )
+    assert rows(visits.contacts_by_entity_period(df, code_map(spark), 1), "period") == [("a", 1, 2, 1, 1)]
+    assert rows(visits.visit_counts(df, 1), "period") == [("a", 1, 1)]
+    paid = spark.createDataFrame([("a", 1, 5, -3), ("a", 1, None, 2)], "entity_id string, period int, capital int, interest int")
+    assert rows(visits.collected_by_entity_period(paid), "period") == [("a", 1, 7)]
