@@ -575,6 +575,21 @@ def statements() -> dict[str, str]:
         "visit_counts": v(
             ("v_visits",), {}, "SELECT entity_id, period, count(*) AS n_visits FROM v_visits WHERE visit_code >= 800 GROUP BY ALL"
         ),
+        "contacts_by_entity_period": v(
+            ("v_measured",),
+            {},
+            """SELECT entity_id, period, count(*) AS n_visits, CAST(sum(direct_contact) AS BIGINT) AS n_direct_contacts,
+               CAST(sum(effective_contact) AS BIGINT) AS n_effective_contacts
+               FROM v_measured WHERE visit_code < 200 AND visit_code <> 50 AND dist_m < 100 AND minutes >= 1 GROUP BY ALL""",
+        ),
+        "collected_by_entity_period": v(
+            ("v_event_payments",),
+            {"r": _PERIOD_FUNNEL["receipts"]},
+            f"SELECT entity_id, period, {_d('collected')} AS collected FROM r",
+        ),
+        "entry_population": v(
+            ("v_event_snapshot",), {"m": _PERIOD_FUNNEL["members"]}, "SELECT entity_id, entry_department AS department FROM m"
+        ),
         "period_funnel": v(
             _FUNNEL_VIEWS,
             _PERIOD_FUNNEL,

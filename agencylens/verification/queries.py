@@ -372,6 +372,21 @@ def visit_counts(spark, sf_dir):
     return visits.visit_counts(views.visits(spark, sf_dir), FUNNEL_FIRST)
 
 
+@_query
+def contacts_by_entity_period(spark, sf_dir):
+    return visits.contacts_by_entity_period(views.visits(spark, sf_dir), code_map(spark), 1)
+
+
+@_query
+def collected_by_entity_period(spark, sf_dir):
+    return visits.collected_by_entity_period(views.event_payments(spark, sf_dir))
+
+
+@_query
+def entry_population(spark, sf_dir):
+    return population.entry_population(views.event_snapshot(spark, sf_dir), FUNNEL_ENTRY, DEPARTMENTS)
+
+
 @_query
 def period_funnel_query(spark, sf_dir):
     return period_funnel(
