@@ -28,6 +28,12 @@ def int_to_date(yyyymmdd: str | Column) -> Column:
     return F.try_to_date(_col(yyyymmdd).cast("string"), "yyyyMMdd")
 
 
+def date_to_int(date: str | Column) -> Column:
+    """``YYYYMMDD`` number of a date."""
+    day = _col(date)
+    return F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
+
+
 def tenure_days(start_ms: str | Column, end_ms: str | Column) -> Column:
     """Days from start to end, 0 when either end is missing."""
     start, end = _col(start_ms), _col(end_ms)

@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.periods import int_to_date
+from ..functions.periods import date_to_int
 
 
 def day_calendar(first_and_last: DataFrame, period_of_day: Column) -> DataFrame:
@@ -59,11 +59,11 @@ def find_period_limits(calendar: DataFrame, period: int) -> tuple[datetime.date
 def with_period_of_date(df: DataFrame, limits: DataFrame, yyyymmdd: str, period: str = "period") -> DataFrame:
     """Add the period whose start..end contains the ``YYYYMMDD`` number, else NULL.
 
-    The limits are exploded to days, which turns the range join into an
-    equi-join. The planner broadcasts the days while they are below its size
+    The limits are exploded to days, as numbers like the facts have them: the
+    range join becomes an equi-join and no fact row is parsed into a date; a
+    number that is no date matches no day. The planner broadcasts the days while they are below its size
     threshold, which a calendar is, and has the sort-merge join beyond it.
     """
-    day_to_period = limits.select(
-        F.explode(F.sequence("start_date", "end_date")).alias("_day"), F.col("period").alias(period)
-    )
-    return df.withColumn("_day", int_to_date(yyyymmdd)).join(day_to_period, on="_day", how="left").drop("_day")
+    days = limits.select(F.explode(F.sequence("start_date", "end_date")).alias("_day"), F.col("period").alias(period))
+    numbered = days.withColumn("_day", date_to_int("_day"))
+    return df.join(numbered, on=F.col(yyyymmdd) == F.col("_day"), how="left").drop("_day")
