@@ -46,5 +46,26 @@ FROM said GROUP BY conv_id
 """
 
 
+DECONTAMINATION = r"""
+WITH said AS (
+  SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+asked AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n, array_to_string(words[i + 1 : i + least(10, len(words))], ' ') AS window_text
+  FROM asked, unnest(range(greatest(1, len(words) - 9))) AS t(i) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+placed AS (
+  SELECT k, i, n, array_to_string(words[i + 1 : i + n], ' ') AS window_text FROM said, sizes, unnest(range(len(words) - n + 1)) AS t(i) WHERE len(words) >= n),
+occurring AS (SELECT k, i, n, item_id FROM placed JOIN windows USING (n, window_text)),
+hit AS (SELECT k, count(DISTINCT i + j) AS n_hit FROM occurring, unnest(range(n)) AS t(j) GROUP BY k),
+items AS (SELECT k, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT k, item_id FROM occurring) GROUP BY k)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM said LEFT JOIN hit USING (k) LEFT JOIN items USING (k)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op9_jump_shards": JUMP_SHARDS, "op10_chat_format": CHAT_FORMAT}
+    return {"op8_prefix_filter_decontamination": DECONTAMINATION, "op9_jump_shards": JUMP_SHARDS, "op10_chat_format": CHAT_FORMAT}

@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agencylens.llm import chat, oracle, sharding
+from agencylens.llm import chat, decontaminate, mixing, oracle, sharding
 from agencylens.llm.shared import table
 
 
+def op2_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"))
+
+
+def op8_prefix_filter_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
@@ -23,7 +31,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(turns.unionByName(added))
 
 
-QUERIES = (op9_jump_shards, op10_chat_format)
+QUERIES = (op2_subset_sum_mix, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark import Broadcast
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Largest pickled object that the operators broadcast, in bytes.
@@ -46,8 +46,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def shipped(spark: SparkSession, value: object, n_bytes: int, what: str) -> Broadcast:
-    """A broadcast of a value whose size was computed before; more than BROADCAST_BYTES is an error."""
-    if n_bytes > BROADCAST_BYTES:
-        raise ValueError(f"{what} takes {n_bytes} bytes; at most {BROADCAST_BYTES} are broadcast")
-    return spark.sparkContext.broadcast(value)
+class Shipped:
+    """A broadcast value; `value` unpickles it, so a task reads it once."""
+
+    def __init__(self, spark: SparkSession, pickled: bytes) -> None:
+        self._broadcast = spark.sparkContext.broadcast(pickled)
+
+    @property
+    def value(self) -> object:
+        return cloudpickle.loads(self._broadcast.value)
+
+
+def shipped(spark: SparkSession, value: object, what: str) -> Shipped:
+    """A broadcast of a value that takes at most BROADCAST_BYTES pickled; more is an error."""
+    pickled = cloudpickle.dumps(value)
+    if len(pickled) > BROADCAST_BYTES:
+        raise ValueError(f"{what} takes {len(pickled)} bytes; at most {BROADCAST_BYTES} are broadcast")
+    return Shipped(spark, pickled)
