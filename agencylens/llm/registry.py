@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agencylens.llm import chat, decontaminate, mixing, oracle, sharding
+from agencylens.llm import chat, decontaminate, mixing, oracle, sharding, simhash, toxicity
 from agencylens.llm.shared import table
 
 
@@ -14,6 +14,14 @@ def op2_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"))
 
 
+def op3_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_bitsliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_prefix_filter_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,7 +39,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(turns.unionByName(added))
 
 
-QUERIES = (op2_subset_sum_mix, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
+QUERIES = (op2_subset_sum_mix, op3_ftrl_toxicity, op6_bitsliced_simhash, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -63,3 +63,8 @@ def shipped(spark: SparkSession, value: object, what: str) -> Shipped:
     if len(pickled) > BROADCAST_BYTES:
         raise ValueError(f"{what} takes {len(pickled)} bytes; at most {BROADCAST_BYTES} are broadcast")
     return Shipped(spark, pickled)
+
+
+def held_out(doc_id: Column) -> Column:
+    """Whether a document is kept from learning: CRC-32 of its id as text, modulo 4, is 2. A null id is never learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
