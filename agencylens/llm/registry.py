@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agencylens.llm import chat, decontaminate, mixing, oracle, sharding, simhash, toxicity
+from agencylens.llm import chat, decontaminate, html_text, language, mixing, oracle, sharding, simhash, toxicity
 from agencylens.llm.shared import table
 
 
+def op1_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extraction_report(table(spark, sf_dir, "pages"))
+
+
 def op2_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,10 @@ def op3_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 def op6_bitsliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,7 +47,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(turns.unionByName(added))
 
 
-QUERIES = (op2_subset_sum_mix, op3_ftrl_toxicity, op6_bitsliced_simhash, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
+QUERIES = (op1_line_block_extraction, op2_subset_sum_mix, op3_ftrl_toxicity, op5_unigram_language, op6_bitsliced_simhash, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

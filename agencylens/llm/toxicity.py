@@ -19,9 +19,9 @@ from agencylens.llm.shared import held_out, packed, shipped
 
 #: The bound of the training sample, in rows.
 TRAIN_ROWS = 8192
-EPOCHS = 3
+EPOCHS = 5
 SPACE = 1 << 20
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 4.0, 1.0
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 1.0
 THRESHOLD = 0.3
 #: A-Z to a-z; letters, digits and bytes beyond ASCII stay; all else is a space.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
