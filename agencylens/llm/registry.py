@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agencylens.llm import chat, decontaminate, html_text, language, mixing, oracle, sharding, simhash, toxicity
+from agencylens.llm import chat, decontaminate, html_text, language, mixing, nearest, oracle, sharding, simhash, toxicity
 from agencylens.llm.shared import table
 
 
@@ -30,6 +30,10 @@ def op6_bitsliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search_report(table(spark, sf_dir, "embeddings"))
+
+
 def op8_prefix_filter_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,7 +51,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(turns.unionByName(added))
 
 
-QUERIES = (op1_line_block_extraction, op2_subset_sum_mix, op3_ftrl_toxicity, op5_unigram_language, op6_bitsliced_simhash, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
+QUERIES = (op1_line_block_extraction, op2_subset_sum_mix, op3_ftrl_toxicity, op5_unigram_language, op6_bitsliced_simhash, op7_adaptive_dimension_scan, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
