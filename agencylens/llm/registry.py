@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agencylens.llm import chat, decontaminate, html_text, language, mixing, nearest, oracle, sharding, simhash, toxicity
+from agencylens.llm import chat, decontaminate, html_text, language, mixing, nearest, oracle, pii, sharding, simhash, toxicity
 from agencylens.llm.shared import table
 
 
@@ -22,6 +22,10 @@ def op3_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op5_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(turns.unionByName(added))
 
 
-QUERIES = (op1_line_block_extraction, op2_subset_sum_mix, op3_ftrl_toxicity, op5_unigram_language, op6_bitsliced_simhash, op7_adaptive_dimension_scan, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
+QUERIES = (op1_line_block_extraction, op2_subset_sum_mix, op3_ftrl_toxicity, op4_skip_chain_pii, op5_unigram_language, op6_bitsliced_simhash, op7_adaptive_dimension_scan, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
