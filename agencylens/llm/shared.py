@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,12 +30,11 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("doc.*")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared checkpoint folder and read from there, so that a lost executor costs no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own; elsewhere that is an error.
+    Where that is unset, a local session gets a folder of its own; elsewhere that is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,9 +43,22 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
+    return context.getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, checkpointed in the shared folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder as Parquet and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class Shipped:
     """A broadcast value; `value` unpickles it, so a task reads it once."""
 
