@@ -40,7 +40,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().,/_: ‐-―-]{0,2}[0-9]){8,}")
-_SPELLED = re.compile(r"[\w.%+-]+[ \t]?(?:@|[(\[{][ \t]?(?:at|AT|@)[ \t]?[)\]}])[ \t]?[\w-]+(?:[ \t]?(?:\.|[(\[{][ \t]?(?:dot|DOT|\.)[ \t]?[)\]}])[ \t]?[\w-]+)+")
+_AT = re.compile(r"[ \t]?(?:@|[(\[{][ \t]?(?:at|AT|@)[ \t]?[)\]}])[ \t]?")
+_NAME = re.compile(r"[\w.%+-]")
+_HOST = re.compile(r"[\w-]+(?:[ \t]?(?:\.|[(\[{][ \t]?(?:dot|DOT|\.)[ \t]?[)\]}])[ \t]?[\w-]+)+")
 _MARKER = re.compile(r"[ \t]?[(\[{][ \t]?(at|dot|@|\.)[ \t]?[)\]}][ \t]?", re.I)
 
 
@@ -66,7 +68,7 @@ def _digits(said: str) -> str:
 
 def _emails(text: str) -> Iterator[Span]:
     """Around each @: the run before it, which no earlier match has used, and a domain after it."""
-    used = at = 0
+    used = at = 0  # each run is walked once: an @ ends it
     while (at := text.find("@", at)) >= 0:
         start = at
         while start > used and _LOCAL.match(text[start - 1]):
@@ -78,6 +80,19 @@ def _emails(text: str) -> Iterator[Span]:
             used = at = domain.end()
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Places of addresses whose signs may be spelled out: around each sign, the run before it and a host after it."""
+    used = 0
+    for sign in _AT.finditer(text):
+        start = sign.start()
+        while start > used and _NAME.match(text[start - 1]):
+            start -= 1
+        host = _HOST.match(text, sign.end()) if start < sign.start() else None
+        if host:
+            yield start, host.end()
+        used = host.end() if host else sign.start()
+
+
 def base_spans(text: str) -> tuple[list[Span], list[Span]]:
     """The spans of the fixed patterns by start and kind; and the plain numbers that matched one and failed its check."""
     good: list[Span] = list(_emails(text)) if "@" in text else []
@@ -146,7 +161,7 @@ def nodes(text: str, good: list[Span], failed: list[Span]) -> list[Node]:
     taken, plain = _Cover(good), _Cover([s for s in failed if s.kind != 1 and s.end - s.start >= SHARED_DIGITS])
     found = [(m.start(), m.end()) for m in _NUMBER.finditer(text)]
     if "@" in text or "(" in text or "[" in text or "{" in text:
-        found += [(m.start(), m.end()) for m in _SPELLED.finditer(text) if "@" in _key(m[0])]
+        found += list(_addresses(text))
     out += [(a, b, 5 if plain.meets(a, b) else 6) for a, b in found if not taken.meets(a, b)]
     return [Node(a, b, key := _key(text[a:b]), _shape(text[a:b], key), rule) for a, b, rule in sorted(out)]
 
@@ -186,7 +201,8 @@ def train(documents: list[list[Node]], steps: int = 200, rate: float = 0.5, pull
     weights = prior()
     start = prior()
     features, labels, pairs = [], [], {"chain": [], "skip": []}
-    for own in documents:
+    for every in documents:
+        own = [n for n in every if n.rule != 6]  # no pattern says what the others are
         base = len(labels)
         for node in own:
             hidden = len(labels) % 2 == 1
