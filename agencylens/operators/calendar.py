@@ -56,6 +56,16 @@ def find_period_limits(calendar: DataFrame, period: int) -> tuple[datetime.date
     return (None, None) if row is None else (row["start_date"], row["end_date"])
 
 
+def dated_from(df: DataFrame, calendar: DataFrame, start_period: int, yyyymmdd: str) -> DataFrame:
+    """Rows dated on or after the period's first day, none if the period is unknown.
+
+    The first day is looked up on the driver, one number, so that the bound is a
+    plain comparison with the source's own column and reaches its scan.
+    """
+    first_day, _ = find_period_limits(calendar, start_period)
+    return df.where(F.lit(False) if first_day is None else F.col(yyyymmdd) >= int(first_day.strftime("%Y%m%d")))
+
+
 def with_period_of_date(df: DataFrame, limits: DataFrame, yyyymmdd: str, period: str = "period") -> DataFrame:
     """Add the period whose start..end contains the ``YYYYMMDD`` number, else NULL.
 

@@ -103,14 +103,17 @@ def payment_flow_and_close(
     """Flow and closing state per (entity, agency, segment, period), suffix ``_paid``.
 
     Flow is the sum of the amounts and the number of payments; the closing state
-    comes from the last payment. Columns the input lacks are left out.
+    comes from the last payment. A column that the input lacks is an error; name
+    a shorter list for a source that has fewer.
     """
+    if missing := [c for c in (*amounts, *state) if c not in cash.columns]:
+        raise ValueError(f"the payments have no {', '.join(missing)}")
     keys = ("entity_id", "agency", "segment", "period")
     rows = cash if start_period is None else cash.where(F.col("period") >= start_period)
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
-    flow = [F.sum(c).alias(f"{c}_paid") for c in amounts if c in cash.columns]
-    closing = [c for c in state if c in cash.columns]
+    flow = [F.sum(c).alias(f"{c}_paid") for c in amounts]
+    closing = list(state)
     summed = latest_with_aggregates(
         rows, keys, order_by, closing, [*flow, F.count(F.lit(1)).alias("n_payments_paid")], tie_break
     )

@@ -13,7 +13,7 @@ def entity_population(snapshot: DataFrame, start_period: int, segments: Sequence
     return snapshot.where(seen & F.col("entity_id").isNotNull()).select("entity_id").distinct()
 
 
-def restrict_to(df: DataFrame, population: DataFrame, on: str = "entity_id") -> DataFrame:
+def restrict_to(df: DataFrame, population: DataFrame, on: str | list[str] = "entity_id") -> DataFrame:
     """Rows whose key occurs in the population; never multiplies rows."""
     return df.join(population, on=on, how="left_semi")
 

@@ -9,11 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructField, StructType
+
+
+def _text(field: StructField) -> Column:
+    """A value's text, equal for equal values only: -0.0 as 0.0, nested values as JSON that shows NULL."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, (DoubleType, FloatType)):
+        value = F.when(value == 0, F.lit(0.0).cast(field.dataType)).otherwise(value)
+    elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value), {"ignoreNullFields": "false"}))
+    return value.cast("string")
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    texts = df.select(*[_text(df.schema[c]).alias(c) for c in columns])
     pairs = texts.unpivot([], list(columns), "column", "value")
     return pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
@@ -22,18 +20,11 @@ SKETCH_ACCURACY = 10_000
 
 
 def drop_sparse_rows(df: DataFrame) -> DataFrame:
-    """Keep rows with at most ``n_columns / 2 + 1`` empty fields.
-
-    Empty is NULL, and 0 as well in numeric columns.
-    """
-
-    def empty(field):
-        column = F.col(field.name)
-        is_zero = column == 0 if isinstance(field.dataType, NumericType) else F.lit(False)
-        return flag(column.isNull() | is_zero)
-
-    empties = reduce(add, [empty(f) for f in df.schema.fields])
-    return df.where(empties <= len(df.columns) / 2 + 1)
+    """Drop rows in which more than half the fields and one are empty: NULL or, in numeric columns, 0."""
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    filled = [F.nullif(F.col(c), F.lit(0)) if c in numeric else F.col(c) for c in df.columns]
+    n_filled = F.size(F.filter(F.array(*[c.isNotNull() for c in filled]), lambda known: known))
+    return df.where(len(df.columns) - n_filled <= len(df.columns) / 2 + 1)
 
 
 def fill_missing(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -62,23 +53,15 @@ def null_outliers(df: DataFrame, columns: Sequence[str] = CAPACITIES, quantile:
     return with_cuts.withColumns(cleaned).drop("_cuts")
 
 
-def impute_group_medians(
-    df: DataFrame, columns: Sequence[str] = CAPACITIES, group: str = "segment", groups: Sequence[int] | None = None
-) -> DataFrame:
-    """Fill NULL with the group's median.
+def impute_group_medians(df: DataFrame, columns: Sequence[str] = CAPACITIES, group: str = "segment") -> DataFrame:
+    """Every NULL of ``columns`` becomes the median of its group; a group without any value keeps NULL.
 
-    ``groups`` names the groups present; it bounds the medians to one row each,
-    so they are broadcast and the data stays where it is. Without it the size
-    of the join side is left to the planner.
+    All groups count. How the few medians meet the rows is the planner's choice.
     """
-    medians = df.groupBy(group).agg(
-        *[F.percentile_approx(c, F.lit(0.5), F.lit(SKETCH_ACCURACY)).alias(f"_median_{c}") for c in columns]
-    )
-    if groups is not None:
-        medians = F.broadcast(medians.where(F.col(group).isin(list(groups))))
-    filled = df.join(medians, on=group, how="left")
-    filled = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_median_{c}")) for c in columns})
-    return filled.drop(*[f"_median_{c}" for c in columns])
+    middle = {c: F.percentile_approx(c, F.lit(0.5), F.lit(SKETCH_ACCURACY)) for c in columns}
+    medians = df.groupBy(F.col(group).alias("_group")).agg(F.struct(*[m.alias(c) for c, m in middle.items()]).alias("_median"))
+    matched = df.join(medians, F.col(group).eqNullSafe(F.col("_group")), "left")
+    return matched.withColumns({c: F.coalesce(c, F.col("_median").getField(c)) for c in columns}).drop("_group", "_median")
 
 
 def enforce_capacity_bounds(df: DataFrame) -> DataFrame:

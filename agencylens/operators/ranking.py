@@ -1,62 +1,52 @@
 """Rank and percent rank of several columns within a group.
 
-Two equivalent strategies:
+Two ways to the same ranks; the caller chooses, no count does:
 
 ``window``  one window per column, all on one shuffle by group. A whole group
-            passes through one task.
+            passes through one task, sorted with spill.
 ``split``   each value's rank is (rows in better buckets) + (rows with a better
-            value in its own bucket). Buckets come from quantile cut points and
-            equal values are counted map-side before they are shuffled, so
-            neither a large group nor a value shared by many rows meets in one
-            task.
+            value in its own bucket). Equal rows and equal values are counted
+            map-side before they are shuffled, and buckets come from quantile
+            cut points of the distinct values, so neither a large group nor a
+            value shared by many rows is ordered by one task. What is left to
+            AQE's skew join is the last join, which puts the ranks back on rows.
+
+Values are compared in their own type: NaN is larger than any number, NULL comes
+last, and a NULL group is a group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType
 
-from .bounds import broadcast_if_small, largest_group
-
-# Rows of one group that a single task sorts without trouble.
-GROUP_ROWS = 2_000_000
 BUCKETS = 256
-# Cut arrays that may be broadcast: some 20 MB.
-CUT_ROWS = 10_000
 
 
 def with_ranks(
     df: DataFrame,
     group: str,
     directions: Mapping[str, int],
-    keys: Sequence[str],
     percent: bool,
     suffix: str,
-    method: str = "auto",
+    method: str = "window",
 ) -> DataFrame:
     """Add ``<column><suffix>`` for every column of ``directions``.
 
     Direction +1 ranks the largest value first, -1 the smallest; NULL ranks
     last. ``percent`` gives ``(rank - 1) / (rows - 1)``, NULL for a NULL value,
     0 in a one-row group; otherwise the plain rank with ties sharing one rank.
-    ``keys`` identify a row. ``auto`` counts the largest group to choose, so
-    give it a stored table rather than a long plan.
     """
-    if method == "auto":
-        method = choose_method(df, group)
     if method == "window":
         return _by_window(df, group, directions, percent, suffix)
     if method == "split":
-        return _by_split(df, group, directions, keys, percent, suffix)
+        return _by_split(df, group, directions, percent, suffix)
     raise ValueError(f"unknown method {method!r}")
 
 
-def choose_method(df: DataFrame, group: str) -> str:
-    """``window`` while the largest group is small enough for one task, else ``split``."""
-    return "window" if largest_group(df, group) <= GROUP_ROWS else "split"
-
-
 def _ordered(column: str | Column, direction: int) -> Column:
     value = F.col(column) if isinstance(column, str) else column
     return value.desc_nulls_last() if direction == 1 else value.asc_nulls_last()
@@ -74,53 +64,85 @@ def _by_window(df, group, directions, percent, suffix):
     return df.withColumns(ranks)
 
 
-def _by_split(df, group, directions, keys, percent, suffix):
-    # one narrow row per (row, column); the sign makes "smallest first" the only order
-    pairs = [
-        F.struct(F.lit(c).alias("_metric"), (F.col(c).cast("double") * F.lit(-float(d))).alias("_value"))
-        for c, d in directions.items()
-    ]
-    identity = list(dict.fromkeys((*keys, group)))
-    long = df.select(*identity, F.inline(F.array(*pairs)))
-    counted = long.groupBy(group, "_metric", "_value").agg(F.count(F.lit(1)).alias("_n"))
+def _comparable(df: DataFrame, directions: Mapping[str, int]) -> tuple[list[Column], list[str]]:
+    """One struct per column whose fields, in order and ascending, sort as the column does; the names of these fields.
 
+    Fields: whether it is NULL, where NaN belongs, then one signed value for each type that occurs.
+    """
+    types = {c: df.schema[c].dataType for c in directions}
+    wide = {c: DecimalType(20, 0) if isinstance(t, IntegralType) else DoubleType() if isinstance(t, FloatType) else t for c, t in types.items()}
+    for c, t in wide.items():
+        if not isinstance(t, (DoubleType, DecimalType)):
+            raise TypeError(f"{c} is {types[c].simpleString()}; only numbers are ranked")
+    distinct = list(dict.fromkeys(t.simpleString() for t in wide.values()))
+    structs = []
+    for c, direction in directions.items():
+        value = F.col(c).cast(wide[c])
+        is_nan = F.isnan(value) if isinstance(wide[c], DoubleType) else F.lit(False)
+        signed = F.when(~is_nan, -value if direction == 1 else value)
+        fields = [
+            F.lit(c).alias("_metric"),
+            F.col(c).isNull().alias("_missing"),
+            F.when(is_nan, F.lit(-direction)).otherwise(F.lit(0)).alias("_nan"),
+            *[(signed if t == wide[c].simpleString() else F.lit(None)).cast(t).alias(f"_value{k}") for k, t in enumerate(distinct)],
+        ]
+        structs.append(F.struct(*fields))
+    return structs, ["_missing", "_nan", *[f"_value{k}" for k in range(len(distinct))]]
+
+
+def _same(left: list[Column], right: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, (a.eqNullSafe(b) for a, b in zip(left, right)))
+
+
+def _renamed(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"r{c}") for c in names], *[c for c in df.columns if c not in names])
+
+
+def _by_split(df, group, directions, percent, suffix):
+    structs, order = _comparable(df, directions)
+    # rows that agree in group and values share their ranks, so these are all the identity that is needed
+    alike = [group, *directions]
+    rows = df.groupBy(*alike).agg(F.count(F.lit(1)).alias("_n"))
+    keys = [f"_key{k}" for k in range(len(alike))]
+    long = rows.select(*[F.col(c).alias(k) for c, k in zip(alike, keys)], F.col(group).alias("_group"), "_n", F.inline(F.array(*structs)))
+    counted = long.groupBy("_group", "_metric", *order).agg(F.sum("_n").alias("_n"))
+
+    values = [F.col(c).cast("double") for c in order[2:]]
+    number = F.coalesce(*values)
     quantiles = F.lit([i / BUCKETS for i in range(1, BUCKETS)])
-    cuts = long.groupBy(group, "_metric").agg(F.percentile_approx("_value", quantiles, F.lit(BUCKETS * 10)).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_value")))
-    # NULL sorts behind every bucket
-    bucket = F.when(F.col("_value").isNull(), BUCKETS).otherwise(F.coalesce(below, F.lit(0)))
-    # one array of cuts per group and metric: a few kilobytes each
-    bucketed = counted.join(broadcast_if_small(cuts, CUT_ROWS), on=[group, "_metric"]).withColumn("_bucket", bucket).drop("_cuts")
-
-    per_bucket = bucketed.groupBy(group, "_metric", "_bucket").agg(F.sum("_n").alias("_in_bucket"))
-    by_metric = Window.partitionBy(group, "_metric")
+    cuts = counted.groupBy("_group", "_metric").agg(F.percentile_approx(number, quantiles, F.lit(BUCKETS * 10)).alias("_cuts"))
+    cuts = _renamed(cuts, ["_group", "_metric"])
+    # the cast keeps the order, so buckets do too; NaN lies before or behind, NULL behind all
+    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < number)), F.lit(0))
+    bucket = F.when(F.col("_missing"), BUCKETS + 1).when(F.col("_nan") != 0, F.when(F.col("_nan") > 0, BUCKETS).otherwise(-1)).otherwise(below)
+    at = ["_group", "_metric"]
+    bucketed = counted.join(cuts, _same([F.col(c) for c in at], [F.col(f"r{c}") for c in at]), "left")
+    bucketed = bucketed.select(*at, *order, "_n", bucket.alias("_bucket"))
+
+    per_bucket = bucketed.groupBy(*at, "_bucket").agg(F.sum("_n").alias("_in_bucket"))
+    by_metric = Window.partitionBy(*at)
     earlier_buckets = by_metric.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.select(
-        group,
-        "_metric",
+        *at,
         "_bucket",
         F.coalesce(F.sum("_in_bucket").over(earlier_buckets), F.lit(0)).alias("_before"),
         F.sum("_in_bucket").over(by_metric).alias("_rows"),
     )
-    inside = Window.partitionBy(group, "_metric", "_bucket").orderBy(F.col("_value").asc_nulls_last())
+    inside = Window.partitionBy(*at, "_bucket").orderBy(*order)
     better = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = bucketed.withColumn("_better", better).join(per_bucket, on=[group, "_metric", "_bucket"])
+    per_bucket = _renamed(per_bucket, [*at, "_bucket"])
+    in_bucket = [*at, "_bucket"]
+    placed = bucketed.withColumn("_better", better).join(per_bucket, _same([F.col(c) for c in in_bucket], [F.col(f"r{c}") for c in in_bucket]))
     ahead = F.col("_before") + F.col("_better")
     if percent:
         share = F.when(F.col("_rows") > 1, ahead.cast("double") / (F.col("_rows") - 1).cast("double")).otherwise(F.lit(0.0))
-        rank = F.when(F.col("_value").isNotNull(), share)
+        rank = F.when(~F.col("_missing"), share)
     else:
         rank = (ahead + 1).cast("int")
-    placed = placed.select(
-        F.col(group).alias("_group"), F.col("_metric").alias("_of"), F.col("_value").alias("_at"), rank.alias("_rank")
-    )
-    same = (
-        F.col(group).eqNullSafe(F.col("_group"))
-        & (F.col("_metric") == F.col("_of"))
-        & F.col("_value").eqNullSafe(F.col("_at"))
-    )
-    ranked = long.join(placed, on=same)
-    wide = ranked.groupBy(*identity).agg(
+    value = [*at, *order]
+    ranks = _renamed(placed.select(*value, rank.alias("_rank")), value)
+    ranked = long.join(ranks, _same([F.col(c) for c in value], [F.col(f"r{c}") for c in value]))
+    wide = ranked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_metric") == c, F.col("_rank"))).alias(f"{c}{suffix}") for c in directions]
     )
-    return df.join(wide, on=identity, how="inner")
+    return df.join(wide, _same([F.col(c) for c in alike], [F.col(k) for k in keys])).drop(*keys)

@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import score_band_label
-from .ranking import choose_method, with_ranks
-from .ratios import AGENCY_SEGMENT
+from .ranking import with_ranks
 
 
 @dataclass(frozen=True)
@@ -41,13 +40,14 @@ def agency_score(
     df: DataFrame,
     metrics: Mapping[str, Metric] | None = None,
     orientation: str = "reference",
-    method: str = "auto",
+    method: str = "window",
 ) -> DataFrame:
     """Add a percentile score per metric, ``score_final``, ``rank`` and ``band``.
 
     ``reference`` orientation gives the best value the percentile 0 (direction
     +1 ranks descending); ``higher_is_better`` gives it 100. A NULL metric has a
-    NULL percentile and adds 0. Ranks and percentiles are within the segment.
+    NULL percentile and adds 0. Ranks and percentiles are within the segment;
+    ``method`` is one of those of ``ranking``.
     """
     flip = {"reference": 1, "higher_is_better": -1}[orientation]
     used = {c: m for c, m in (metrics or DEFAULT_METRICS).items() if m.active and c in df.columns}
@@ -55,16 +55,12 @@ def agency_score(
         raise ValueError("none of the active metrics is a column of the input")
     total = sum(m.weight for m in used.values())
 
-    if method == "auto":
-        method = choose_method(df, "segment")
-    ranked = with_ranks(
-        df, "segment", {c: m.direction * flip for c, m in used.items()}, AGENCY_SEGMENT, True, "_percent_rank", method
-    )
+    ranked = with_ranks(df, "segment", {c: m.direction * flip for c, m in used.items()}, True, "_percent_rank", method)
     percentiles = {f"score_{c}_pct": F.col(f"{c}_percent_rank") * 100 for c in used}
     scored = ranked.withColumns(percentiles).drop(*[f"{c}_percent_rank" for c in used])
     score = F.lit(0.0)
     for c, m in used.items():
         score = score + F.coalesce(F.col(f"score_{c}_pct") * F.lit(m.weight / total), F.lit(0.0))
     scored = scored.withColumn("score_final", score)
-    placed = with_ranks(scored, "segment", {"score_final": 1}, AGENCY_SEGMENT, False, "_rank", method)
+    placed = with_ranks(scored, "segment", {"score_final": 1}, False, "_rank", method)
     return placed.withColumnRenamed("score_final_rank", "rank").withColumn("band", score_band_label(F.col("score_final")))

@@ -32,12 +32,6 @@ def following(column: str | Column) -> Column:
     return F.lead(column, 1).over(_timeline())
 
 
-def ever(condition: Column) -> Column:
-    """Whether the condition holds in any of the entity's periods."""
-    whole = _timeline().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return F.max(condition).over(whole)
-
-
 def with_required_payment(df: DataFrame, clamped: bool = False) -> DataFrame:
     """Add ``required_payment``: what the previous period's record asks for.
 

@@ -12,7 +12,6 @@ from ..operators.score import agency_score
 from ..sources.sinks import save_table
 from .dataset import Store, agency_base, agency_dataset, agency_features, agency_profile
 from .history import history_base
-from .materialize import materialize
 
 
 @dataclass(frozen=True)
@@ -55,17 +54,20 @@ def get_dataset(
     segments: Sequence[int],
     as_of_ms: int,
     n_periods: int = 12,
-    store: Store = materialize,
+    store: Store | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(history, agency data set).
 
-    ``store`` keeps the history, which is an output and the input of the
-    features, so that it is computed once.
+    Without ``store`` nothing runs. With it, what is read more than once is written
+    and read back: the history, an output and the input of the features, and the
+    small tables that cut points and medians need as a whole.
     """
-    history = store(reported_history(inputs, pivot, start, look_back, segments), "history")
+    history = reported_history(inputs, pivot, start, look_back, segments)
+    if store is not None:
+        history = store(history, "history")
     base = agency_base(inputs.agency_segments, inputs.agency_master, segments)
-    features = agency_features(history, segments, n_periods, store=materialize)
-    return history, agency_dataset(agency_profile(base, as_of_ms, segments, materialize), features)
+    features = agency_features(history, segments, n_periods, store=store)
+    return history, agency_dataset(agency_profile(base, as_of_ms, store), features)
 
 
 def run_batch(
@@ -80,13 +82,19 @@ def run_batch(
     """Build and save ``<table_out>_history`` and ``<table_out>``; errors propagate.
 
     History is written once, by period, and the features read that table: later
-    runs prune to the periods they need.
+    runs prune to the periods they need. The small tables in between lie beside
+    it and are dropped at the end.
     """
-    history_table = f"{table_out}_history"
+    passing = []
 
-    def keep(history: DataFrame, _: str) -> DataFrame:
-        save_table(history, history_table, partition_by=("period",))
-        return history.sparkSession.table(history_table)
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        table = f"{table_out}_{name}"
+        if name == "history":
+            save_table(df, table, partition_by=("period",))
+        else:
+            passing.append(table)
+            save_table(df, table)
+        return df.sparkSession.table(table)
 
     start, look_back = period_bounds(inputs.calendar, pivot, n_periods)
     _, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods, keep)
@@ -94,3 +102,5 @@ def run_batch(
     if scored_table is not None:
         stored = dataset.sparkSession.table(table_out)
         save_table(agency_score(stored), scored_table)
+    for table in passing:
+        dataset.sparkSession.sql(f"DROP TABLE {table}")

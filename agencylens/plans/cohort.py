@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..operators.cohort import FOLLOWED_SEGMENTS, KEY, cohort_arrears, cohort_followup
 from ..operators.ledger import payments_by_period, with_cumulative_payment
+from ..operators.population import restrict_to
 
 
 def entry_cohort(
@@ -25,8 +26,12 @@ def entry_cohort(
     """Follow the entered entities from ``entry_period`` to ``end_period``.
 
     ``entries`` comes from snapshots or from change events, ``balances`` from
-    closing-day balances or from the flattened-key source.
+    closing-day balances or from the flattened-key source. Snapshots and payments
+    are restricted to the entered entities before they are de-duplicated or
+    summed, which goes by entity, so the result is the same; restrict the
+    balances' source likewise where it is aggregated.
     """
-    arrears = cohort_arrears(snapshot, entry_period, end_period, order_by, tie_break, segments)
-    paid = with_cumulative_payment(payments_by_period(payments, entry_period, end_period, KEY), KEY)
+    entered = entries.select(*KEY)
+    arrears = cohort_arrears(restrict_to(snapshot, entered, list(KEY)), entry_period, end_period, order_by, tie_break, segments)
+    paid = with_cumulative_payment(payments_by_period(restrict_to(payments, entered, list(KEY)), entry_period, end_period, KEY), KEY)
     return cohort_followup(arrears, entries, paid, balances, entry_period, distance)

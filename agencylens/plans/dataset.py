@@ -22,9 +22,7 @@ def agency_base(agency_segments: DataFrame, agency_master: DataFrame, segments:
     return chosen.join(agency_master, on="agency", how="left")
 
 
-def agency_profile(
-    base: DataFrame, as_of_ms: int, segments: Sequence[int] | None = None, store: Store | None = None
-) -> DataFrame:
+def agency_profile(base: DataFrame, as_of_ms: int, store: Store | None = None) -> DataFrame:
     """Clean, impute, bound and validate the agency base.
 
     Outlier cuts and medians each need the whole base before any row is done;
@@ -32,10 +30,10 @@ def agency_profile(
     """
     dense = quality.drop_sparse_rows(base)
     if store is not None:
-        dense = store(dense, "agency-base")
+        dense = store(dense, "agency_base")
     cleaned = quality.fill_missing(dense, {"external_company": ""})
     cleaned = quality.null_outliers(quality.repair_status_dates(cleaned, as_of_ms))
-    complete = quality.enforce_capacity_bounds(quality.impute_group_medians(cleaned, groups=segments))
+    complete = quality.enforce_capacity_bounds(quality.impute_group_medians(cleaned))
     return quality.with_capacity_ratios(quality.with_tenure(quality.with_field_validity(complete)))
 
 
@@ -63,7 +61,7 @@ def agency_features(
     for_trends = [c for c in summed.columns if c.startswith(("slope_", "std_", "n_periods_"))]
     measured = summed.select(*AGENCY_SEGMENT, *[c.alias(n) for n, c in measure_columns().items()], *for_trends)
     if store is not None:
-        measured = store(measured, "agency-measures")
+        measured = store(measured, "agency_measures")
     return with_trend_labels(with_ratio_categories(measured)).select(
         *AGENCY_SEGMENT,
         *MEASURES,

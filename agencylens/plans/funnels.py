@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.amounts import clamp_at_zero, ratio_or_zero
 from ..operators.latest import ranked_record
-from ..operators.population import is_entry_record, restrict_to
-from ..operators.transitions import ever, with_arrears_roll, with_required_payment
+from ..operators.population import entry_population, restrict_to
+from ..operators.transitions import with_arrears_roll, with_required_payment
 from ..operators.visits import typed_contacts
 
 # Shortest valid visit in minutes, and the segment of current clients.
@@ -21,18 +21,19 @@ _RECORD = ("arrears", "last_payment", "last_arrears_payment")
 
 
 def _records_with_activity(
-    snapshot: DataFrame, visits: DataFrame, payments: DataFrame, code_map: DataFrame, order, min_minutes: float, clamp: bool
+    snapshot: DataFrame, visits: DataFrame, payments: DataFrame, code_map: DataFrame, clients: DataFrame, order, min_minutes: float, clamp: bool
 ) -> DataFrame:
     """Last snapshot record per entity and period with that period's visits and payments.
 
     One aggregation over the union of the three sources instead of three
     aggregations and two joins: a single shuffle, cut map-side to one row per
-    entity and period. Activity without a snapshot record is dropped.
-    ``_entry_department`` of the snapshot rows is carried along.
+    entity and period. Every source is restricted to ``clients`` first. Activity
+    without a snapshot record is dropped.
     """
-    contacts = typed_contacts(visits, code_map, min_minutes, clamp)
+    contacts = typed_contacts(restrict_to(visits, clients), code_map, min_minutes, clamp)
+    payments = restrict_to(payments, clients)
     sides = (
-        snapshot.select("entity_id", "period", ranked_record(*order, _RECORD).alias("_record"), "_entry_department")
+        restrict_to(snapshot, clients).select("entity_id", "period", ranked_record(*order, _RECORD).alias("_record"))
         .unionByName(
             contacts.select("entity_id", "period", "direct_contact", "effective_contact", F.lit(1).alias("visit")),
             allowMissingColumns=True,
@@ -44,7 +45,6 @@ def _records_with_activity(
     )
     by_period = sides.groupBy("entity_id", "period").agg(
         F.max("_record").alias("_record"),
-        F.min("_entry_department").alias("_entry_department"),
         F.count("visit").alias("n_visits"),
         F.coalesce(F.sum("direct_contact"), F.lit(0)).alias("n_direct_contacts"),
         F.coalesce(F.sum("effective_contact"), F.lit(0)).alias("n_effective_contacts"),
@@ -80,24 +80,25 @@ def period_funnel(
 
     ``first_period`` defaults to ``period - 70`` (look-back on the period number,
     as given); it and the following one only feed look-back and are not reported.
-    The entering population is a flag on the entity's timeline, so none of the
-    sources is joined to it.
+    The entering population is one period's entry records; all sources are
+    restricted to it before they are typed, measured or aggregated.
     """
     first = period - 70 if first_period is None else first_period
     chosen = F.col("department").isin(list(departments))
-    enters = is_entry_record(period, departments)
     recent = F.col("period") >= first
+    entering = entry_population(snapshot.where(recent), period, departments)
     records = _records_with_activity(
-        snapshot.where(recent & chosen).withColumn("_entry_department", F.when(enters, F.col("department"))),
+        snapshot.where(recent & chosen),
         visits.where(recent),
         payments.where(recent & chosen),
         code_map,
+        entering.select("entity_id"),
         (order_by, tie_break),
         PERIOD_FUNNEL_MINUTES,
         clamp,
     )
-    moved = with_required_payment(records.withColumn("department", ever(F.col("_entry_department"))), clamped=True)
-    entered = with_arrears_roll(moved).where(F.col("department").isNotNull())
+    moved = with_required_payment(records.join(entering, on="entity_id", how="inner"), clamped=True)
+    entered = with_arrears_roll(moved)
 
     totals = (
         entered
@@ -147,32 +148,35 @@ def contact_funnel(
     last_period: int,
     only_current: bool = False,
     only_non_current: bool = False,
+    look_back: int | None = None,
     order_by: Sequence[str] = ("opened_at", "updated_at"),
     tie_break: Sequence[str] = ("record_id",),
     clamp: bool = True,
 ) -> DataFrame:
     """Contact funnel of the listed clients, per period.
 
-    One period before and after the reported range is read for look-back.
+    ``look_back`` is the period before ``first_period``, which its required
+    payment asks for; it defaults to ``first_period - 1``, which reaches no
+    earlier year. Give the calendar's period one back
+    (``calendar.find_period_around``) where that matters.
     """
-    in_range = F.col("period").between(first_period - 1, last_period + 1)
+    in_range = F.col("period").between(first_period - 1 if look_back is None else look_back, last_period)
     base = snapshot.where(in_range)
     if only_current:
         base = base.where(F.col("segment") == CURRENT_SEGMENT)
     if only_non_current:
         base = base.where(F.col("segment") != CURRENT_SEGMENT)
     records = _records_with_activity(
-        base.withColumn("_entry_department", F.lit(None).cast("int")),
+        base,
         visits.where(in_range),
         payments.where(in_range),
         code_map,
+        clients,
         (order_by, tie_break),
         CONTACT_FUNNEL_MINUTES,
         clamp,
     )
-    # restricted after the cut to one row per entity and period: a client with
-    # very many records is small by the time rows meet by client
-    listed = with_required_payment(restrict_to(records, clients), clamped=True)
+    listed = with_required_payment(records, clamped=True)
 
     totals = (
         listed

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.amounts import flag, positive_sum
 from ..operators.latest import ranked_record
 from ..operators.ledger import with_plan_flag
-from ..operators.transitions import ever, with_arrears_roll, with_required_payment, with_segment_transitions
+from ..operators.population import entity_population, restrict_to
+from ..operators.transitions import with_arrears_roll, with_required_payment, with_segment_transitions
 
 SNAPSHOT_FIELDS = (
     "segment",
@@ -23,16 +24,7 @@ SNAPSHOT_FIELDS = (
 LEDGER_FIELDS = ("agency", "plan_active")
 
 
-def _snapshot_side(snapshot, start_period, segments, order, as_of_period) -> DataFrame:
-    seen = snapshot.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull())
-    if as_of_period is not None:
-        seen = seen.where(F.col("period") <= as_of_period)
-    belongs = (F.col("period") > start_period) & F.col("segment").isin(list(segments))
-    return seen.select("entity_id", "period", ranked_record(*order, SNAPSHOT_FIELDS).alias("_record"), belongs.alias("_belongs"))
-
-
-def _ledger_side(ledger, start_period, order) -> DataFrame:
-    usable = ledger.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull() & F.col("agency").isNotNull())
+def _ledger_side(usable, order) -> DataFrame:
     return with_plan_flag(usable).select(
         "entity_id",
         "period",
@@ -65,10 +57,10 @@ def history_base(
 ) -> DataFrame:
     """Client-period history: last snapshot records with movements and recoveries.
 
-    The population is every entity seen in the segments after ``start_period``;
-    it is a flag aggregated along with the last record and spread over the
-    entity's timeline, which saves a second scan of the snapshots and a join.
-    Rows are one per entity and period before anything is shuffled by entity,
+    The population is every entity seen in the segments after ``start_period``.
+    Both sources are restricted to it before anything is aggregated or shuffled
+    for more: its scan reads three columns, and whether it is broadcast or merged
+    is the planner's choice by its size. Rows are one per entity and period before anything is shuffled by entity,
     so an entity with very many records does not burden one task, and the result
     stays laid out by entity for the aggregations that follow.
 
@@ -79,12 +71,15 @@ def history_base(
     """
     # Both sources are cut to one row per entity and period in one aggregation
     # over their union: one shuffle for both, and no join of the two afterwards.
-    sides = _snapshot_side(snapshot, start_period, segments, snapshot_order, as_of_period).unionByName(
-        _ledger_side(ledger, start_period, ledger_order), allowMissingColumns=True
-    )
+    seen = snapshot.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull())
+    if as_of_period is not None:
+        seen = seen.where(F.col("period") <= as_of_period)
+    usable = ledger.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull() & F.col("agency").isNotNull())
+    chosen = entity_population(seen, start_period, segments)
+    records = restrict_to(seen, chosen).select("entity_id", "period", ranked_record(*snapshot_order, SNAPSHOT_FIELDS).alias("_record"))
+    sides = records.unionByName(_ledger_side(restrict_to(usable, chosen), ledger_order), allowMissingColumns=True)
     by_period = sides.groupBy("entity_id", "period").agg(
         F.max("_record").alias("_record"),
-        F.max("_belongs").alias("_belongs"),
         F.max("_entry").alias("_entry"),
         F.sum("collected").alias("collected"),
         F.sum("auto_charge").alias("auto_charge"),
@@ -100,10 +95,9 @@ def history_base(
         "auto_charge",
         "captation",
         "n_managers",
-        ever(F.col("_belongs")).alias("_population"),
     )
     moved = with_segment_transitions(with_arrears_roll(with_required_payment(observed)), segments)
-    recovered = moved.where(F.col("_population") & F.col("agency").isNotNull())
+    recovered = moved.where(F.col("agency").isNotNull())
     return with_outcome_flags(
-        recovered.withColumn("paid", flag(F.col("collected") > 0)).drop("_population", "last_payment", "last_arrears_payment")
+        recovered.withColumn("paid", flag(F.col("collected") > 0)).drop("last_payment", "last_arrears_payment")
     )

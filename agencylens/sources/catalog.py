@@ -2,8 +2,9 @@
 
 Each adapter takes the table as a DataFrame (``spark.table(name)``,
 ``spark.read.parquet(path)``), keeps only the columns the engine uses and gives
-them canonical names, so column pruning and filters reach the scan. Columns a
-source lacks are left out, which serves readers that need only some.
+them canonical names, so column pruning and filters reach the scan. A column
+that the source lacks is an error; ``only`` names the canonical columns to take
+from a source that has fewer (the key and the period always come along).
 
 ``decoders`` maps a canonical column to a function from ``Column`` to
 ``Column`` for fields stored encoded (tax id, e-mail, coordinates); identity by
@@ -144,23 +145,33 @@ FLAT_KEY_BALANCES = {
 }
 
 
-def _named(df: DataFrame, names: Mapping[str, str], extra: Sequence[Column] = (), decoders: Decoders | None = None) -> DataFrame:
+Only = Sequence[str] | None
+
+
+def _named(
+    df: DataFrame, names: Mapping[str, str], extra: Sequence[Column] = (), decoders: Decoders | None = None, only: Only = None, key: Sequence[str] = ()
+) -> DataFrame:
     decode = decoders or {}
+    if only is not None:
+        if unknown := set(only) - set(names.values()):
+            raise ValueError(f"no such column: {', '.join(sorted(unknown))}")
+        names = {s: n for s, n in names.items() if n in only or n in key}
+    if missing := [s for s in names if s not in df.columns]:
+        raise ValueError(f"the source has no {', '.join(missing)}")
 
     def column(source: str, name: str) -> Column:
         value = F.col(source)
         return (decode[name](value) if name in decode else value).alias(name)
 
-    present = {s: n for s, n in names.items() if s in df.columns}
-    return df.select(*extra, *[column(s, n) for s, n in present.items()])
+    return df.select(*extra, *[column(s, n) for s, n in names.items()])
 
 
 def _entity(key: Mapping[str, str], require_all_parts: bool) -> Column:
     return composite_key(*key, require_all_parts=require_all_parts).alias("entity_id")
 
 
-def _keyed(df, key, names, extra=(), decoders=None, require_all_parts=False):
-    return _named(df, {**key, **names}, [_entity(key, require_all_parts), *extra], decoders)
+def _keyed(df, key, names, extra=(), decoders=None, require_all_parts=False, only=None):
+    return _named(df, {**key, **names}, [_entity(key, require_all_parts), *extra], decoders, only, (*key.values(), "period"))
 
 
 def _from_year(df: DataFrame, year: str, week: str, start_period: int | None) -> tuple[DataFrame, Column]:
@@ -174,58 +185,68 @@ def _from_year(df: DataFrame, year: str, week: str, start_period: int | None) ->
     return df, period.alias("period")
 
 
-def agency_segments(table: DataFrame, segments: Sequence[int]) -> DataFrame:
+def agency_segments(table: DataFrame, segments: Sequence[int], only: Only = None) -> DataFrame:
     """Agency-segments of the given segments."""
-    return _named(table.where(F.col("fitipodepto").isin(list(segments))), AGENCY_SEGMENT)
+    return _named(table.where(F.col("fitipodepto").isin(list(segments))), AGENCY_SEGMENT, only=only, key=("agency", "segment"))
 
 
-def agency_master(table: DataFrame, decoders: Decoders | None = None) -> DataFrame:
+def agency_master(table: DataFrame, decoders: Decoders | None = None, only: Only = None) -> DataFrame:
     """Agency master data; tax id and e-mail may need a decoder."""
-    return _named(table, AGENCY_MASTER, decoders=decoders)
+    return _named(table, AGENCY_MASTER, decoders=decoders, only=only, key=("agency",))
 
 
-def snapshot(table: DataFrame, start_period: int | None = None, require_all_parts: bool = False) -> DataFrame:
+def snapshot(table: DataFrame, start_period: int | None = None, require_all_parts: bool = False, only: Only = None) -> DataFrame:
     """Weekly client snapshots, all segments."""
     rows = table if start_period is None else table.where(F.col("fisemana") >= start_period)
-    return _keyed(rows.where(F.col("fisemana").isNotNull()), KEY, SNAPSHOT, require_all_parts=require_all_parts)
+    return _keyed(rows.where(F.col("fisemana").isNotNull()), KEY, SNAPSHOT, require_all_parts=require_all_parts, only=only)
 
 
-def ledger(table: DataFrame, start_period: int | None = None, require_all_parts: bool = False) -> DataFrame:
+def ledger(table: DataFrame, start_period: int | None = None, require_all_parts: bool = False, only: Only = None) -> DataFrame:
     """Recovery ledger; the table stores year and week apart."""
     rows, period = _from_year(table, "fianio", "fisemana", start_period)
-    return _keyed(rows, KEY, LEDGER, [period], require_all_parts=require_all_parts)
+    return _keyed(rows, KEY, LEDGER, [period], require_all_parts=require_all_parts, only=only)
 
 
-def recoveries(table: DataFrame, start_period: int | None = None, require_all_parts: bool = False) -> DataFrame:
+def recoveries(table: DataFrame, start_period: int | None = None, require_all_parts: bool = False, only: Only = None) -> DataFrame:
     """Instalment recoveries by processing year and week."""
     rows, period = _from_year(table, "fianioproceso", "fisemproceso", start_period)
-    return _keyed(rows, CUSTOMER_KEY, RECOVERIES, [period], require_all_parts=require_all_parts)
+    return _keyed(rows, CUSTOMER_KEY, RECOVERIES, [period], require_all_parts=require_all_parts, only=only)
+
+
+def recoveries_by_own_period(
+    table: DataFrame, departments: Sequence[int] | None = None, start_period: int | None = None, require_all_parts: bool = False, only: Only = None
+) -> DataFrame:
+    """Instalment recoveries by the table's own period, of some departments or all."""
+    rows = table if departments is None else table.where(F.col("fideptoid").isin(list(departments)))
+    if start_period is not None:
+        rows = rows.where(F.col("fisemana") >= start_period)
+    return _keyed(rows, CUSTOMER_KEY, RECOVERIES, [F.col("fisemana").alias("period")], require_all_parts=require_all_parts, only=only)
 
 
-def management_results(table: DataFrame) -> DataFrame:
+def management_results(table: DataFrame, only: Only = None) -> DataFrame:
     """Management results by ``YYYYMMDD`` date (see ``calendar.with_period_of_date``)."""
-    return _keyed(table, KEY, MANAGEMENT_RESULTS)
+    return _keyed(table, KEY, MANAGEMENT_RESULTS, only=only)
 
 
-def visits(table: DataFrame, decoders: Decoders | None = None) -> DataFrame:
+def visits(table: DataFrame, decoders: Decoders | None = None, only: Only = None) -> DataFrame:
     """Visits with GPS; the four coordinates may need a decoder."""
-    return _keyed(table, CUSTOMER_KEY, VISITS, decoders=decoders)
+    return _keyed(table, CUSTOMER_KEY, VISITS, decoders=decoders, only=only)
 
 
-def cash_payments(table: DataFrame, start_period: int | None = None) -> DataFrame:
+def cash_payments(table: DataFrame, start_period: int | None = None, only: Only = None) -> DataFrame:
     """Cash payments with agency, segment and account state."""
     rows, period = _from_year(table, "fianio", "fisemana", start_period)
-    return _keyed(rows, KEY, CASH, [period])
+    return _keyed(rows, KEY, CASH, [period], only=only)
 
 
-def segment_changes(table: DataFrame) -> DataFrame:
+def segment_changes(table: DataFrame, only: Only = None) -> DataFrame:
     """Recorded segment changes."""
-    return _keyed(table, KEY, SEGMENT_CHANGES)
+    return _keyed(table, KEY, SEGMENT_CHANGES, only=only)
 
 
-def balances(table: DataFrame) -> DataFrame:
+def balances(table: DataFrame, only: Only = None) -> DataFrame:
     """Outstanding balances by registration day."""
-    return _named(table, {**BALANCE_KEY, **BALANCES})
+    return _named(table, {**BALANCE_KEY, **BALANCES}, only=only, key=tuple(BALANCE_KEY.values()))
 
 
 def flat_key_balances(table: DataFrame) -> DataFrame:

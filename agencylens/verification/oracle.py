@@ -290,7 +290,7 @@ _PROFILE = {
 }
 _CHECKED = ("segment", "status", "agency_type", "management_type", "interface_enabled")
 _SNAPSHOT_COLUMNS = (
-    "entity_id", "country", "branch", "folio", "period", "segment", "arrears", "balance", "last_payment",
+    "entity_id", "country", "channel", "branch", "folio", "period", "segment", "arrears", "balance", "last_payment",
     "last_arrears_payment", "n_actions", "n_actions_unpaid", "opened_at", "record_id",
 )
 
@@ -356,6 +356,12 @@ _CONTACT_FUNNEL = _funnel(
     "s.department",
 )
 
+_BOUNDED_FUNNEL = {n: q.replace("WHERE TRUE", "WHERE period >= 202401") for n, q in _PERIOD_FUNNEL.items()}
+_CURRENT_FUNNEL, _NON_CURRENT_FUNNEL = (
+    {n: q.replace("period BETWEEN 202400 AND 202406", f"period BETWEEN 202402 AND 202404 AND segment {side} 3") for n, q in _CONTACT_FUNNEL.items()}
+    for side in ("=", "<>")
+)
+
 # --- cohort ---------------------------------------------------------------------------
 
 _KEY = "country, channel, branch, folio"
@@ -431,6 +437,11 @@ _ROLLUP = {
         FROM rows_joined GROUP BY ALL""",
 }
 
+_ROLLUP_FROM = {
+    n: q.replace("FROM v_cash", "FROM (SELECT * FROM v_cash WHERE period >= 200003)").replace("FROM v_ledger", "FROM (SELECT * FROM v_ledger WHERE period >= 200003)")
+    for n, q in _ROLLUP.items()
+}
+
 # --- statements -----------------------------------------------------------------------
 
 
@@ -474,6 +485,13 @@ def statements() -> dict[str, str]:
             {},
             "SELECT entity_id, period_of_date AS period, count(*) AS n_actions, count(DISTINCT manager) AS n_managers FROM v_actions WHERE action_code >= 800 GROUP BY ALL",
         ),
+        "managed_actions_from": v(
+            ("v_actions",),
+            {},
+            """SELECT entity_id, period_of_date AS period, count(*) AS n_actions, count(DISTINCT manager) AS n_managers
+               FROM v_actions WHERE action_code >= 800 AND (period_of_date >= 200003 OR period_of_date IS NULL) GROUP BY ALL""",
+        ),
+        "period_lookup": v(("v_calendar",), {}, "SELECT period, min(day) AS start_date, max(day) AS end_date FROM v_calendar WHERE period = 200003 GROUP BY period"),
         "payments_by_period": v(
             ("v_ledger",), {"p": _payments("entity_id")}, f"SELECT entity_id, period, {_d('payment')} AS payment, payment_indicator FROM p"
         ),
@@ -488,11 +506,14 @@ def statements() -> dict[str, str]:
             {
                 "s": "SELECT entity_id, agency, segment, period, sum(payment) p, sum(auto_charge_due) d, sum(auto_charge) a, sum(captation) c, count(*) n FROM v_cash GROUP BY ALL",
                 "l": """SELECT * FROM v_cash QUALIFY row_number() OVER (PARTITION BY entity_id, agency, segment, period
-                    ORDER BY paid_at DESC, order_id DESC, line DESC, manager DESC, price DESC, arrears DESC, days_late DESC, account_class DESC, balance DESC) = 1""",
+                    ORDER BY paid_at DESC, order_id DESC, line DESC, manager DESC, price DESC, arrears DESC, days_late DESC, account_class DESC, balance DESC, balance_late DESC, interest_due DESC) = 1""",
             },
             f"""SELECT entity_id, agency, segment, period, {_d("p")} AS payment_paid, {_d("d")} AS auto_charge_due_paid,
                 {_d("a")} AS auto_charge_paid, {_d("c")} AS captation_paid, n AS n_payments_paid, l.arrears AS arrears_at_close,
-                l.days_late AS days_late_at_close, l.account_class AS account_class_at_close, {_d("l.balance")} AS balance_at_close
+                l.days_late AS days_late_at_close, l.account_class AS account_class_at_close, {_d("l.balance")} AS balance_at_close,
+                l.days_late_at_payment AS days_late_at_payment_at_close, l.portfolio_type AS portfolio_type_at_close,
+                l.judicial_flag AS judicial_flag_at_close, l.portfolio_origin AS portfolio_origin_at_close,
+                {_d("l.balance_late")} AS balance_late_at_close, {_d("l.interest_due")} AS interest_due_at_close, l.telephony_flag AS telephony_flag_at_close
                 FROM s JOIN l USING (entity_id, agency, segment, period)""",
         ),
         "required_payment": v(
@@ -543,6 +564,15 @@ def statements() -> dict[str, str]:
                      WHEN score_final >= 40 THEN 'Desempeño medio' WHEN score_final >= 20 THEN 'Bajo desempeño' ELSE 'Crítico' END AS band
                 FROM final""",
         ),
+        "agency_score_split": v(
+            _HISTORY_VIEWS,
+            _SCORE,
+            f"""SELECT agency, segment, {score_columns}, round(score_final, 9) AS score_final,
+                CAST(rank() OVER (PARTITION BY segment ORDER BY score_final DESC) AS INTEGER) AS rank,
+                CASE WHEN score_final >= 80 THEN 'Élite' WHEN score_final >= 60 THEN 'Buen desempeño'
+                     WHEN score_final >= 40 THEN 'Desempeño medio' WHEN score_final >= 20 THEN 'Bajo desempeño' ELSE 'Crítico' END AS band
+                FROM final""",
+        ),
         "agency_base": v(("v_base",), {}, "SELECT * FROM v_base"),
         "null_fill": v(("v_base",), {}, f"{base_keys}, coalesce(external_company, '') AS external_company FROM v_base"),
         "sparse_row_drop": v(("v_base",), {}, f"{base_keys} FROM v_base WHERE {_SPARSE}"),
@@ -600,6 +630,16 @@ def statements() -> dict[str, str]:
                 {_ratio0("collected_total", "required_payment_total", "efficiency")}, n_roll_forward, n_with_prev,
                 {_ratio0("n_roll_forward", "n_with_prev", "pct_roll_forward")}, avg_arrears FROM totals""",
         ),
+        "period_funnel_bounded": v(
+            _FUNNEL_VIEWS,
+            _BOUNDED_FUNNEL,
+            f"""SELECT CASE WHEN period = 202402 THEN 'phase_i' ELSE 'phase' END AS phase, period, n_departments, n_clients, n_visits,
+                {_ratio0("n_visits", "n_clients", "avg_visits_per_client")}, {_ratio0("n_visits", "n_visited", "avg_visits_per_visited_client")},
+                n_direct_contacts, {_ratio0("n_direct_contacts", "n_visits", "pct_direct_contact")},
+                {_ratio0("n_direct_contacts", "n_clients", "avg_direct_contacts_per_client")}, collected_total, required_payment_total,
+                {_ratio0("collected_total", "required_payment_total", "efficiency")}, n_roll_forward, n_with_prev,
+                {_ratio0("n_roll_forward", "n_with_prev", "pct_roll_forward")}, avg_arrears FROM totals WHERE period BETWEEN 202403 AND 202404""",
+        ),
         "contact_funnel": v(
             _FUNNEL_VIEWS,
             _CONTACT_FUNNEL,
@@ -611,9 +651,36 @@ def statements() -> dict[str, str]:
                 {_ratio0("collected_total", "required_payment_total", "efficiency")}, collected_total, required_payment_total
                 FROM totals WHERE period BETWEEN 202401 AND 202405""",
         ),
+        "contact_funnel_current": v(
+            _FUNNEL_VIEWS,
+            _CURRENT_FUNNEL,
+            f"""SELECT period, n_clients, n_visits, {_ratio0("n_visits", "n_clients", "avg_visits_per_client")},
+                n_direct_contacts, {_ratio0("n_direct_contacts", "n_visits", "pct_direct_contact")},
+                {_ratio0("n_direct_contacts", "n_clients", "avg_direct_contacts_per_client")},
+                n_effective_contacts, {_ratio0("n_effective_contacts", "n_visits", "pct_effective_contact")},
+                {_ratio0("n_effective_contacts", "n_clients", "avg_effective_contacts_per_client")},
+                {_ratio0("collected_total", "required_payment_total", "efficiency")}, collected_total, required_payment_total
+                FROM totals WHERE period BETWEEN 202403 AND 202404""",
+        ),
+        "contact_funnel_non_current": v(
+            _FUNNEL_VIEWS,
+            _NON_CURRENT_FUNNEL,
+            f"""SELECT period, n_clients, n_visits, {_ratio0("n_visits", "n_clients", "avg_visits_per_client")},
+                n_direct_contacts, {_ratio0("n_direct_contacts", "n_visits", "pct_direct_contact")},
+                {_ratio0("n_direct_contacts", "n_clients", "avg_direct_contacts_per_client")},
+                n_effective_contacts, {_ratio0("n_effective_contacts", "n_visits", "pct_effective_contact")},
+                {_ratio0("n_effective_contacts", "n_clients", "avg_effective_contacts_per_client")},
+                {_ratio0("collected_total", "required_payment_total", "efficiency")}, collected_total, required_payment_total
+                FROM totals WHERE period BETWEEN 202403 AND 202404""",
+        ),
         "cohort_entry_from_snapshots": v(
             ("v_snapshot",), _ENTRIES, f"SELECT * REPLACE ({_d('balance_at_entry')} AS balance_at_entry) FROM entries"
         ),
+        "cohort_entry_in_country": v(
+            ("v_snapshot",),
+            {n: q.replace("FROM v_snapshot WHERE", "FROM v_snapshot WHERE country = 10 AND") for n, q in _ENTRIES.items()},
+            f"SELECT * REPLACE ({_d('balance_at_entry')} AS balance_at_entry) FROM entries",
+        ),
         "cohort_entry_events": v(
             ("v_orders",),
             {},
@@ -653,7 +720,19 @@ def statements() -> dict[str, str]:
                 {_d("sum(capital)")} / nullif({_d("sum(n_actions)")}, 0) AS capital_per_action,
                 round(avg(late), 6) AS avg_days_late, max(late) AS worst_week_days_late,
                 avg(n_actions) AS avg_actions, avg(n_payments) AS avg_payments,
-                round(stddev_samp(CAST(capital AS DOUBLE)), 2) AS capital_volatility, round(avg(commission), 6) AS avg_commission
+                round(stddev_samp(CAST(capital AS DOUBLE)), 2) AS capital_volatility, round(avg(commission), 9) AS avg_commission
+                FROM weeks GROUP BY agency, segment""",
+        ),
+        "agency_history_rollup_from": v(
+            ("v_ledger", "v_cash"),
+            _ROLLUP_FROM,
+            f"""SELECT agency, segment, avg(n_clients) AS avg_clients, max(n_clients) AS max_clients,
+                {_d("sum(capital)")} / count(capital) AS avg_capital, {_d("sum(capital)")} AS total_capital,
+                {_d("sum(payment_paid)")} / count(payment_paid) AS avg_payment_paid,
+                {_d("sum(capital)")} / nullif({_d("sum(n_actions)")}, 0) AS capital_per_action,
+                round(avg(late), 6) AS avg_days_late, max(late) AS worst_week_days_late,
+                avg(n_actions) AS avg_actions, avg(n_payments) AS avg_payments,
+                round(stddev_samp(CAST(capital AS DOUBLE)), 2) AS capital_volatility, round(avg(commission), 9) AS avg_commission
                 FROM weeks GROUP BY agency, segment""",
         ),
     }

@@ -63,8 +63,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT entity_id, l_suppkey AS agency, segment, period, price AS payment, price * tax AS auto_charge_due,
                CAST(l_quantity AS DECIMAL(15,2)) AS auto_charge, price * discount AS captation,
                l_linenumber AS arrears, CAST(l_quantity AS INTEGER) AS days_late, ascii(l_linestatus) AS account_class,
-               order_total AS balance, l_shipdate AS paid_at, l_orderkey AS order_id, l_linenumber AS line,
-               l_partkey AS manager, price
+               CAST(l_partkey % 90 AS INTEGER) AS days_late_at_payment, CAST(l_partkey % 5 AS INTEGER) AS portfolio_type,
+               CAST(l_orderkey % 2 AS INTEGER) AS judicial_flag, CAST(l_orderkey % 4 AS INTEGER) AS portfolio_origin,
+               order_total AS balance, price * discount AS balance_late, price * tax AS interest_due,
+               CAST(l_partkey % 2 AS INTEGER) AS telephony_flag, l_shipdate AS paid_at, l_orderkey AS order_id,
+               l_linenumber AS line, l_partkey AS manager, price
         FROM v_lines""",
     ),
     "v_calendar": (

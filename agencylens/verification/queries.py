@@ -16,7 +16,6 @@ from ..plans.cohort import entry_cohort
 from ..plans.dataset import agency_base, agency_dataset, agency_features, agency_profile
 from ..plans.funnels import contact_funnel, period_funnel
 from ..plans.history import history_base
-from ..plans.materialize import materialize
 from ..plans.rollup import agency_history_rollup
 from ..sources.codes import code_map
 from . import views
@@ -29,6 +28,9 @@ ALL_SEGMENTS = (1, 2, 3, 4, 5)
 AS_OF_MS = 1_700_000_000_000
 N_PERIODS = 26
 FUNNEL_ENTRY, FUNNEL_FIRST, FUNNEL_LAST = 202402, 202399, 202405
+# Bounds inside the event data.
+BOUNDED_FIRST, BOUNDED_LAST = 202403, 202404
+COUNTRY = 10
 DEPARTMENTS = (0, 1, 2)
 SLOPE_DIGITS = 9
 
@@ -137,6 +139,18 @@ def managed_actions(spark, sf_dir):
     return ledger.actions_by_entity_period(calendar.with_period_of_date(views.actions(spark, sf_dir), limits, "yyyymmdd"))
 
 
+@_query
+def managed_actions_from(spark, sf_dir):
+    days = views.calendar(spark, sf_dir)
+    recent = calendar.dated_from(views.actions(spark, sf_dir), days, ENTRY, "yyyymmdd")
+    return ledger.actions_by_entity_period(calendar.with_period_of_date(recent, calendar.period_limits(days), "yyyymmdd"))
+
+
+@_query
+def period_lookup(spark, sf_dir):
+    return calendar.period_limits_of(views.calendar(spark, sf_dir), ENTRY)
+
+
 @_query
 def payments_by_period(spark, sf_dir):
     return ledger.payments_by_period(views.ledger(spark, sf_dir), LOOK_BACK, PIVOT)
@@ -230,18 +244,18 @@ def trend_slopes(spark, sf_dir):
 
 @_query
 def trend_labels(spark, sf_dir):
-    labels = trend.trend_labels(materialize(_slopes(spark, sf_dir), "trend-slopes"))
+    labels = trend.trend_labels(_slopes(spark, sf_dir))
     return labels.drop("trend_score", "trend_profile")
 
 
 @_query
 def trend_profile(spark, sf_dir):
-    labels = trend.trend_labels(materialize(_slopes(spark, sf_dir), "trend-slopes"))
+    labels = trend.trend_labels(_slopes(spark, sf_dir))
     return labels.select("agency", "segment", "trend_score", "trend_profile")
 
 
 def _features(spark, sf_dir):
-    return agency_features(_history(spark, sf_dir), LEGAL, N_PERIODS, store=materialize)
+    return agency_features(_history(spark, sf_dir), LEGAL, N_PERIODS)
 
 
 @_query
@@ -251,7 +265,18 @@ def agency_features_query(spark, sf_dir):
 
 @_query
 def agency_score_query(spark, sf_dir):
-    scored = agency_score(_features(spark, sf_dir))
+    return _scored(spark, sf_dir, "window")
+
+
+@_query
+def agency_score_split(spark, sf_dir):
+    return _scored(spark, sf_dir, "split")
+
+
+def _scored(spark, sf_dir, method):
+    features = _features(spark, sf_dir)
+    # the split method reads its input several times
+    scored = agency_score(features.persist() if method == "split" else features, method=method)
     percentiles = [c for c in scored.columns if c.startswith("score_")]
     return scored.select("agency", "segment", *[F.round(c, SLOPE_DIGITS).alias(c) for c in percentiles], "rank", "band")
 
@@ -292,7 +317,7 @@ def outlier_null(spark, sf_dir):
 @_query
 def median_impute(spark, sf_dir):
     cleaned = quality.null_outliers(_base(spark, sf_dir))
-    return quality.impute_group_medians(cleaned, groups=ALL_SEGMENTS).select("agency", "segment", *quality.CAPACITIES)
+    return quality.impute_group_medians(cleaned).select("agency", "segment", *quality.CAPACITIES)
 
 
 @_query
@@ -323,7 +348,7 @@ def tenure_days(spark, sf_dir):
 
 
 def _profile(spark, sf_dir):
-    return agency_profile(_base(spark, sf_dir), AS_OF_MS, ALL_SEGMENTS, store=materialize)
+    return agency_profile(_base(spark, sf_dir), AS_OF_MS)
 
 
 @_query
@@ -343,7 +368,7 @@ def value_frequencies(spark, sf_dir):
 
 @_query
 def column_profile(spark, sf_dir):
-    return profiling.column_profile(views.snapshot(spark, sf_dir).drop("channel"))
+    return profiling.column_profile(views.snapshot(spark, sf_dir))
 
 
 @_query
@@ -395,6 +420,32 @@ def period_funnel_query(spark, sf_dir):
     )
 
 
+@_query
+def period_funnel_bounded(spark, sf_dir):
+    return period_funnel(
+        views.event_snapshot(spark, sf_dir), views.visits(spark, sf_dir), views.event_payments(spark, sf_dir), code_map(spark),
+        "phase", FUNNEL_ENTRY, DEPARTMENTS, BOUNDED_LAST, BOUNDED_FIRST - 2, *views.EVENT_ORDER,
+    )
+
+
+def _bounded_contacts(spark, sf_dir, **side):
+    return contact_funnel(
+        views.event_snapshot(spark, sf_dir), views.visits(spark, sf_dir), views.event_payments(spark, sf_dir), code_map(spark),
+        views.event_clients(spark, sf_dir), BOUNDED_FIRST, BOUNDED_LAST, look_back=BOUNDED_FIRST - 1,
+        order_by=views.EVENT_ORDER[0], tie_break=views.EVENT_ORDER[1], **side,
+    )
+
+
+@_query
+def contact_funnel_current(spark, sf_dir):
+    return _bounded_contacts(spark, sf_dir, only_current=True)
+
+
+@_query
+def contact_funnel_non_current(spark, sf_dir):
+    return _bounded_contacts(spark, sf_dir, only_non_current=True)
+
+
 @_query
 def contact_funnel_query(spark, sf_dir):
     return contact_funnel(
@@ -416,6 +467,11 @@ def cohort_entry_from_snapshots(spark, sf_dir):
     return _entries(spark, sf_dir)
 
 
+@_query
+def cohort_entry_in_country(spark, sf_dir):
+    return cohort.entries_from_snapshots(views.snapshot(spark, sf_dir), ENTRY, *views.SNAPSHOT_ORDER, country=COUNTRY)
+
+
 @_query
 def cohort_entry_events(spark, sf_dir):
     return cohort.entries_from_events(views.segment_changes(spark, sf_dir), ENTRY)
@@ -426,8 +482,8 @@ def cohort_arrears(spark, sf_dir):
     return cohort.cohort_arrears(views.snapshot(spark, sf_dir), LOOK_BACK, PIVOT, *views.SNAPSHOT_ORDER)
 
 
-def _closing_balances(spark, sf_dir):
-    return cohort.balance_at_close(views.balances(spark, sf_dir), views.calendar(spark, sf_dir), LOOK_BACK, PIVOT)
+def _closing_balances(spark, sf_dir, first=LOOK_BACK, last=PIVOT):
+    return cohort.balance_at_close(views.balances(spark, sf_dir), views.calendar(spark, sf_dir), first, last)
 
 
 @_query
@@ -443,14 +499,23 @@ def balance_split_key(spark, sf_dir):
 @_query
 def cohort_followup(spark, sf_dir):
     return entry_cohort(
-        views.snapshot(spark, sf_dir), _entries(spark, sf_dir), views.ledger(spark, sf_dir), _closing_balances(spark, sf_dir),
+        views.snapshot(spark, sf_dir), _entries(spark, sf_dir), views.ledger(spark, sf_dir), _closing_balances(spark, sf_dir, ENTRY, ENTRY_END),
         ENTRY, ENTRY_END, *views.SNAPSHOT_ORDER,
     )
 
 
 @_query
 def agency_history_rollup_query(spark, sf_dir):
-    rolled = agency_history_rollup(views.ledger(spark, sf_dir), views.cash(spark, sf_dir), LOOK_BACK, *views.CASH_ORDER)
+    return _rolled(spark, sf_dir, LOOK_BACK)
+
+
+@_query
+def agency_history_rollup_from(spark, sf_dir):
+    return _rolled(spark, sf_dir, ENTRY)
+
+
+def _rolled(spark, sf_dir, start_period):
+    rolled = agency_history_rollup(views.ledger(spark, sf_dir), views.cash(spark, sf_dir), start_period, *views.CASH_ORDER)
     # only these add up doubles, in whatever order rows arrive
-    digits = {"avg_days_late": 6, "avg_commission": 6, "capital_volatility": 2}
+    digits = {"avg_days_late": 6, "avg_commission": 9, "capital_volatility": 2}
     return rolled.withColumns({c: F.round(c, d) for c, d in digits.items()})

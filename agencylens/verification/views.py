@@ -145,7 +145,14 @@ def cash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("arrears"),
         F.col("l_quantity").cast("int").alias("days_late"),
         F.ascii("l_linestatus").alias("account_class"),
+        (F.col("l_partkey") % 90).cast("int").alias("days_late_at_payment"),
+        (F.col("l_partkey") % 5).cast("int").alias("portfolio_type"),
+        (F.col("l_orderkey") % 2).cast("int").alias("judicial_flag"),
+        (F.col("l_orderkey") % 4).cast("int").alias("portfolio_origin"),
         F.col("order_total").alias("balance"),
+        (F.col("price") * F.col("discount")).alias("balance_late"),
+        (F.col("price") * F.col("tax")).alias("interest_due"),
+        (F.col("l_partkey") % 2).cast("int").alias("telephony_flag"),
         F.col("l_shipdate").alias("paid_at"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line"),

@@ -2,6 +2,8 @@
 
 import datetime
 import random
+from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from agencylens.operators import calendar, cohort, latest, ledger, population, profiling, quality, ranking, ratios, rollup
 from agencylens.operators import transitions, trend, visits
 from agencylens.operators.score import Metric, agency_score
+from agencylens.plans.rollup import agency_history_rollup
 from agencylens.sources.codes import CONTACT_CODES, code_map
 
 
@@ -141,13 +144,32 @@ def test_payment_flow_and_closing_state(spark):
         [("a", 1, 5, 1, 10, 3, 1), ("a", 1, 5, 1, 20, 9, 2), ("a", None, 5, 1, 99, 1, 3)],
         "entity_id string, agency int, segment int, period int, payment int, days_late int, paid_at int",
     )
-    got = ledger.payment_flow_and_close(cash, ["paid_at"])
+    with pytest.raises(ValueError, match="telephony_flag"):
+        ledger.payment_flow_and_close(cash, ["paid_at"])
+    got = ledger.payment_flow_and_close(cash, ["paid_at"], amounts=["payment"], state=["days_late"])
     assert rows(got.select("entity_id", "payment_paid", "n_payments_paid", "days_late_at_close"), "entity_id") == [("a", 30, 2, 9)]
 
 
 # --- calendar -------------------------------------------------------------------------
 
 
+def test_rollup_leaves_out_what_lies_before_its_start(spark):
+    cash = spark.createDataFrame([("a", 1, 5, 2, 10, 3, 9)], "entity_id string, agency int, segment int, period int, payment int, days_late int, balance int")
+    columns = {c: F.lit(0) for c in (*ledger.FLOW_AMOUNTS, *ledger.CLOSING_STATE) if c not in cash.columns}
+    entries = "entity_id string, agency int, segment int, period int, capital int, interest int, days_late int, commission_pct double, n_actions int"
+    booked = spark.createDataFrame([("a", 1, 5, p, 100 * p, 0, 1, 0.1, 1) for p in (1, 2)], entries)
+    got = agency_history_rollup(booked, cash.withColumns(columns).withColumn("paid_at", F.lit(1)), 2, ["paid_at"], [])
+    assert [tuple(r) for r in got.select("avg_capital", "avg_payment_paid").collect()] == [(200.0, 10.0)]
+
+
+def test_actions_are_bounded_in_the_scan(spark, days, tmp_path, plan_of):
+    path = str(tmp_path / "actions")
+    spark.createDataFrame([("a", 20240107), ("a", 20240108), ("a", 20240131)], "entity_id string, yyyymmdd int").write.parquet(path)
+    recent = calendar.dated_from(spark.read.parquet(path), days, 202402, "yyyymmdd")
+    assert recent.count() == 2 and "GreaterThanOrEqual(yyyymmdd,20240108)" in plan_of(recent)
+    assert calendar.dated_from(spark.read.parquet(path), days, 209901, "yyyymmdd").count() == 0
+
+
 @pytest.fixture
 def days(spark):
     start = datetime.date(2024, 1, 1)
@@ -209,10 +231,12 @@ def test_status_dates(spark):
 
 def test_outliers_and_medians(spark):
     df = spark.createDataFrame([(1, i) for i in range(101)] + [(2, 0)], "segment int, ideal_capacity int")
+    unlisted = spark.createDataFrame([(None, 4), (None, None), (77, 6), (77, None)], "segment int, ideal_capacity int")
+    assert rows(quality.impute_group_medians(unlisted, ["ideal_capacity"]), "ideal_capacity") == [(None, 4), (None, 4), (77, 6), (77, 6)]
     cut = quality.null_outliers(df, ["ideal_capacity"])
     # 102 values: the 97th is 95, so 96 to 100 go, and both zeros
     assert cut.where("ideal_capacity IS NULL").count() == 5 + 2
-    filled = quality.impute_group_medians(cut, ["ideal_capacity"], groups=[1, 2])
+    filled = quality.impute_group_medians(cut, ["ideal_capacity"])
     assert filled.where("segment = 1 AND ideal_capacity IS NULL").count() == 0
     assert filled.where("segment = 2").first()["ideal_capacity"] is None
 
@@ -280,44 +304,67 @@ def test_percentile_score_orientation_and_missing(spark):
         agency_score(df, {"absent": Metric(1, 1)})
 
 
+RANKED = {"a": 1, "b": -1, "n": 1, "m": -1}
+
+
+def _both_ways(df, percent):
+    return [
+        sorted(map(str, ranking.with_ranks(df, "segment", RANKED, percent, "_r", m).collect()))
+        for m in ("window", "split")
+    ]
+
+
 @pytest.mark.parametrize("percent", [True, False])
 @pytest.mark.parametrize("buckets", [4, 256])
 def test_split_ranks_equal_window_ranks(spark, monkeypatch, percent, buckets):
     monkeypatch.setattr(ranking, "BUCKETS", buckets)
     rng = random.Random(11)
-    # a third of all values are equal, some are missing, one group has a single row
+    nan, big = float("nan"), 2**53
+    # a third of all values are equal, some missing or NaN; neighbours beyond what a double tells apart;
+    # missing keys, repeated rows, and a group of one row
     data = [
-        (i, rng.choice([4, 5]), rng.choice([0.0, None, rng.random(), rng.random()]), rng.choice([1.0, rng.gauss(0, 5), -0.0]))
-        for i in range(900)
-    ] + [(900, 6, 2.0, None)]
-    df = spark.createDataFrame(data, "agency int, segment int, a double, b double")
-    directions = {"a": 1, "b": -1}
-    results = [
-        rows(ranking.with_ranks(df, "segment", directions, ["agency", "segment"], percent, "_r", m).select("agency", "a_r", "b_r"), "agency")
-        for m in ("window", "split")
+        (
+            rng.choice([i, i, None]),
+            rng.choice([4, 5, None]),
+            rng.choice([0.0, None, nan, rng.random(), rng.random()]),
+            rng.choice([1.0, rng.gauss(0, 5), -0.0, nan]),
+            rng.choice([big, big + 1, big + 2, -big, None, 7]),
+            rng.choice([Decimal("123456789012345678901234567890.01"), Decimal("123456789012345678901234567890.02"), None, Decimal(i)]),
+        )
+        for i in range(600)
     ]
-    assert results[0] == results[1]
+    data += data[:50] + [(900, 6, 2.0, None, 1, None)]
+    df = spark.createDataFrame(data, "agency int, segment int, a double, b double, n long, m decimal(38,2)")
+    window, split = _both_ways(df, percent)
+    assert window == split and len(split) == len(data)
+
+
+def test_ranks_of_empty_and_odd_columns(spark):
+    empty = spark.createDataFrame([], "agency int, segment int, a double, b double, n long, m decimal(38,2)")
+    assert _both_ways(empty, True) == [[], []]
+    with pytest.raises(TypeError):
+        ranking.with_ranks(spark.sql("SELECT 1 segment, 'x' t"), "segment", {"t": 1}, True, "_r", "split")
+    with pytest.raises(ValueError):
+        ranking.with_ranks(empty, "segment", {"a": 1}, True, "_r", "auto")
 
 
 def test_scoring_shuffles_once_for_all_metrics(spark, plan_of):
     df = spark.range(50).select("id", F.lit(5).alias("segment"), F.rand(1).alias("a"), F.rand(2).alias("b"))
-    ranked = ranking.with_ranks(df, "segment", {"a": 1, "b": 1}, ["id"], True, "_r", "window")
+    ranked = ranking.with_ranks(df, "segment", {"a": 1, "b": 1}, True, "_r", "window")
     assert plan_of(ranked).count("Exchange") == 1
 
 
 # --- visits ---------------------------------------------------------------------------
 
 
-def test_contact_type_equals_the_case_chain(spark):
+def test_contact_types(spark):
+    named = [name for name, by_visit in CONTACT_CODES.items() for results in by_visit.values() for _ in results]
     pairs = spark.createDataFrame([(v, r) for v in range(0, 180) for r in range(0, 18)], "visit_code int, result_code int")
-    chain = F.lit("sin_info")
-    for name, by_visit in CONTACT_CODES.items():
-        for visit_code, results in by_visit.items():
-            hit = (F.col("visit_code") == visit_code) & F.col("result_code").isin(results)
-            chain = F.when(hit, name).otherwise(chain)
-    joined = visits.with_contact_type(pairs, code_map(spark)).withColumn("expected", chain)
-    assert joined.where("contact_type <> expected").count() == 0
-    assert joined.where("contact_type <> 'sin_info'").count() == 83
+    counts = {r["contact_type"]: r["count"] for r in visits.with_contact_type(pairs, code_map(spark)).groupBy("contact_type").count().collect()}
+    assert counts == {**Counter(named), "sin_info": 180 * 18 - len(named)} and len(named) == 83
+    known = [(visit, result, name) for name, by_visit in CONTACT_CODES.items() for visit, results in by_visit.items() for result in results[:1]]
+    some = spark.createDataFrame([(int(v), r, n) for v, r, n in known] + [(179, 17, "sin_info")], "visit_code int, result_code int, expected string")
+    assert visits.with_contact_type(some, code_map(spark)).where("contact_type <> expected").count() == 0
 
 
 def test_a_pair_named_twice_keeps_its_last_type():
@@ -372,6 +419,13 @@ def test_profile_equals_per_column_aggregates(spark, plan_of):
     assert plan_of(profiling.column_profile(df)).count("Scan") == 1
 
 
+def test_profile_tells_values_apart(spark):
+    df = spark.sql("SELECT * FROM VALUES (0.0D, array('a', null), struct(1, null)), (-0.0D, array('a', 'null'), struct(1, 'x')), (double('NaN'), null, null) AS t(d, l, s)")
+    got = {r["column"]: (r["nulls"], r["distinct"]) for r in profiling.column_profile(df).collect()}
+    expected = df.agg(*[F.countDistinct(c).alias(c) for c in ("d", "l")]).first()
+    assert got == {"d": (0, expected["d"]), "l": (1, expected["l"]), "s": (1, 2)}
+
+
 def test_value_frequencies(spark):
     df = spark.createDataFrame([(1,), (1,), (None,)], "a int")
     assert [tuple(r) for r in profiling.value_frequencies(df, ["a"]).collect()] == [("a", "1", 2), ("a", None, 1)]

@@ -7,8 +7,7 @@ from agencylens.operators.latest import latest_per_key
 from agencylens.operators.ledger import ledger_by_entity_period
 from agencylens.operators.population import entity_population, restrict_to
 from agencylens.operators.transitions import with_arrears_roll, with_required_payment, with_segment_transitions
-from agencylens.plans import batch, check, dataset, history
-from agencylens.plans.materialize import checkpoint_folder, materialize
+from agencylens.plans import batch, check, dataset, funnels, history
 from agencylens.sources import catalog, codes, naming, sinks
 from agencylens.verification import queries, views
 
@@ -42,22 +41,39 @@ def test_as_of_period_hides_the_future(spark, small):
     assert capped.where("period = 199804 AND with_next_arrears = 1").count() == 0
 
 
-def test_history_plan_has_no_join_between_its_sources(spark, small, plan_of):
+def _first_cut(plan):
+    """Lines of the plan above and below the lowest aggregation of the sources' rows."""
+    lines = plan.splitlines()
+    lowest = max(i for i, line in enumerate(lines) if "partial_max(struct" in line or "partial_max(_record" in line)
+    return "\n".join(lines[:lowest]), "\n".join(lines[lowest:])
+
+
+def test_sources_are_restricted_before_they_are_aggregated(spark, small, plan_of):
+    for name, sources in (("history_base", 2), ("period_funnel", 3), ("contact_funnel", 3)):
+        above, below = _first_cut(plan_of(queries.registered()[name](spark, small)))
+        assert below.count("LeftSemi") == sources and "LeftSemi" not in above, name
+
+
+def test_contact_funnel_looks_back_over_the_turn_of_the_year(spark):
     snapshot = spark.createDataFrame(
-        [], "entity_id string, period int, segment int, arrears int, balance int, last_payment int, last_arrears_payment int, "
-        "n_actions int, n_actions_unpaid int, opened_at int, record_id int")
-    ledger = spark.createDataFrame(
-        [], "entity_id string, period int, agency int, capital int, interest int, auto_charge int, captation int, manager int, plan string, ts int")
-    spark.conf.set("spark.sql.optimizer.excludedRules", "org.apache.spark.sql.catalyst.optimizer.PropagateEmptyRelation,"
-                   "org.apache.spark.sql.catalyst.optimizer.ConvertToLocalRelation")
+        [("a", p, 3, 1, 40, 2, 1, p) for p in (202552, 202601)],
+        "entity_id string, period int, segment int, arrears int, last_payment int, last_arrears_payment int, opened_at int, record_id int",
+    ).withColumn("updated_at", F.lit(1))
+    visits = spark.createDataFrame([], "entity_id string, period int, visit_code int, result_code int, agent_lat string, agent_lon string, client_lat string, client_lon string, start_ms long, end_ms long")
+    payments = spark.createDataFrame([], "entity_id string, period int, capital int, interest int")
+    clients = spark.createDataFrame([("a",)], "entity_id string")
+    funnel = lambda **k: funnels.contact_funnel(snapshot, visits, payments, codes.code_map(spark), clients, 202601, 202601, **k).first()
+    assert funnel(look_back=202552)["required_payment_total"] == 42 and funnel()["required_payment_total"] == 0
+    assert funnels.contact_funnel(snapshot, visits, payments, codes.code_map(spark), clients, 202601, 202601, only_non_current=True).count() == 0
+
+
+def test_building_the_data_set_starts_no_job(spark, small):
+    spark.sparkContext.setJobGroup("build", "build")
     try:
-        base = history.history_base(snapshot, ledger, 1, [5], (["opened_at"], ["record_id"]), (["ts"], []))
-        plan = plan_of(dataset.agency_features(base, [5]).select("agency", "n_clients", "efficiency"))
+        batch.get_dataset(inputs(spark, small), 200101, 199902, 199901, queries.LEGAL, queries.AS_OF_MS)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
     finally:
-        spark.conf.unset("spark.sql.optimizer.excludedRules")
-    assert "Join" not in plan
-    # one by entity-period, one by entity, then only roll-ups of the period cube
-    assert plan.count("Exchange hashpartitioning(entity_id") == 2
+        spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_cut_points_are_evaluated_in_the_plan(spark, small, plan_of):
@@ -74,6 +90,7 @@ def test_batch_run_saves_both_tables(spark, small):
     assert [r[0] for r in stored.select("period").distinct().orderBy("period").collect()][0] == start
     assert spark.table("run").count() == spark.table("run_scored").count() > 0
     assert {"rank", "band", "score_final"} <= set(spark.table("run_scored").columns)
+    assert sorted(t.name for t in spark.catalog.listTables() if t.name.startswith("run")) == ["run", "run_history", "run_scored"]
     pruned = stored.where("period = 200001")
     assert "PartitionFilters: [isnotnull(period" in pruned._jdf.queryExecution().executedPlan().toString()
 
@@ -102,12 +119,6 @@ def test_csv_export(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 3
 
 
-def test_materialize_uses_the_sessions_folder(spark):
-    kept = materialize(spark.range(5), "numbers")
-    assert kept.count() == 5
-    assert checkpoint_folder(spark).rstrip("/") in kept.inputFiles()[0]
-
-
 def test_code_map_from_json(spark, tmp_path):
     path = tmp_path / "codes.json"
     path.write_text('{"x": {"1": [0, 5]}}')
@@ -116,19 +127,50 @@ def test_code_map_from_json(spark, tmp_path):
 
 def test_catalog_adapters(spark):
     key = "1 fipais, 2 ficanal, 3 fisucursal, 4 fifolio"
-    snapshot = catalog.snapshot(spark.sql(f"SELECT {key}, 202601 fisemana, 5 fitipodepto, 3 fisematrasomax, 9.5 fnsaldocte"))
+    few = ["segment", "arrears", "balance"]
+    snapshot = catalog.snapshot(spark.sql(f"SELECT {key}, 202601 fisemana, 5 fitipodepto, 3 fisematrasomax, 9.5 fnsaldocte"), only=few)
     assert snapshot.select("entity_id", "period", "segment", "arrears", "folio").first() == ("1-2-3-4", 202601, 5, 3, 4)
     ledger = spark.sql(f"SELECT {key}, 2026 fianio, 1 fisemana, 7 fidespid, 'PLAN ACTIVO' fcplan UNION ALL SELECT {key}, 2025, 50, 7, 'x'")
-    assert [tuple(r) for r in catalog.ledger(ledger, 202601).select("entity_id", "period", "plan").collect()] == [("1-2-3-4", 202601, "PLAN ACTIVO")]
+    assert [tuple(r) for r in catalog.ledger(ledger, 202601, only=["agency", "plan"]).select("entity_id", "period", "plan").collect()] == [("1-2-3-4", 202601, "PLAN ACTIVO")]
     customer_key = "1 fipaiscu, 2 ficanalcu, 3 fisucursalcu, 4 fifoliocu"
     visit = spark.sql(f"SELECT {customer_key}, 202601 fisemana, 9 fivisitaid, 'MTk=' fclatitudgps")
-    decoded = catalog.visits(visit, {"agent_lat": lambda c: F.unbase64(c).cast("string")})
+    decoded = catalog.visits(visit, {"agent_lat": lambda c: F.unbase64(c).cast("string")}, only=["visit_code", "agent_lat"])
     assert decoded.select("entity_id", "visit_code", "agent_lat").first() == ("1-2-3-4", 9, "19")
     days = catalog.day_calendar(spark.sql("SELECT 2026 nanioekt, 3 nsemanaekt, date'2026-01-15' nfecha"))
     assert days.first()["period"] == 202603
     limits = catalog.week_limits(spark.sql("SELECT 2026 fianioproceso, 3 fisemproceso, 0L fcfecinicial, 86400000L fcfectermino"))
     assert str(limits.first()["end_date"]) == "1970-01-02"
-    assert catalog.agency_segments(spark.sql("SELECT 1L fidespid, 5 fitipodepto UNION ALL SELECT 1L, 7"), [5]).count() == 1
+    assert catalog.agency_segments(spark.sql("SELECT 1L fidespid, 5 fitipodepto UNION ALL SELECT 1L, 7"), [5], only=[]).count() == 1
+
+
+KEYS = {"fipais": 1, "ficanal": 2, "fisucursal": 3, "fifolio": 4}
+ADAPTERS = {
+    # adapter: source columns of the key and the period, columns it maps, arguments, period
+    "agency_master": ({}, catalog.AGENCY_MASTER, {}, None),
+    "recoveries": ({**{k + "cu": v for k, v in KEYS.items()}, "fianioproceso": 2026, "fisemproceso": 3}, catalog.RECOVERIES, {"start_period": 202603}, 202603),
+    "recoveries_by_own_period": ({**{k + "cu": v for k, v in KEYS.items()}, "fisemana": 202605}, catalog.RECOVERIES, {"departments": [7], "start_period": 202605}, 202605),
+    "management_results": (KEYS, catalog.MANAGEMENT_RESULTS, {}, None),
+    "cash_payments": ({**KEYS, "fianio": 2026, "fisemana": 3}, catalog.CASH, {"start_period": 202601}, 202603),
+    "segment_changes": (KEYS, catalog.SEGMENT_CHANGES, {}, 7),
+    "balances": (dict(zip(catalog.BALANCE_KEY, KEYS.values())), catalog.BALANCES, {}, None),
+    "flat_key_balances": ({}, catalog.FLAT_KEY_BALANCES, {}, 7),
+}
+
+
+@pytest.mark.parametrize("name", ADAPTERS)
+def test_adapter_takes_every_column_or_says_what_is_missing(spark, name):
+    key, names, arguments, period = ADAPTERS[name]
+    source = {**{c: 7 for c in names}, **key, "unused": 0}
+    table = spark.createDataFrame([tuple(source.values())], list(source))
+    got = getattr(catalog, name)(table, **arguments)
+    row = got.first().asDict()
+    assert set(names.values()) <= set(row) and "unused" not in row
+    assert all(row[n] == 7 for s, n in names.items() if s not in key)
+    assert period is None or row["period"] == period
+    if key and "entity_id" in row:
+        assert row["entity_id"] == "1-2-3-4" and row["folio"] == 4
+    with pytest.raises(ValueError, match=list(names)[-1]):
+        getattr(catalog, name)(table.drop(list(names)[-1]), **arguments).first()
 
 
 def test_established_names(spark):
