@@ -59,17 +59,22 @@ def trend_slopes(weekly: DataFrame, null_handling: str = "reference") -> DataFra
     return with_time_index(weekly).groupBy(*AGENCY_SEGMENT).agg(*trend_aggregates(null_handling))
 
 
-def cut_points(slopes: DataFrame) -> DataFrame:
-    """One row, one struct column ``cuts``: terciles of every slope, median deviation."""
+def cut_points() -> Column:
+    """Struct ``cuts`` over all rows: terciles of every slope, median deviation.
+
+    A window over the whole table, which has a row for each agency and segment,
+    not for facts: the measures behind the slopes are evaluated once.
+    """
     low, high = TERCILES
+    everything = Window.partitionBy()
 
     def quantile(column: str, q: float, name: str) -> Column:
-        return F.percentile_approx(column, F.lit(q), F.lit(SKETCH_ACCURACY)).alias(name)
+        return F.percentile_approx(column, F.lit(q), F.lit(SKETCH_ACCURACY)).over(everything).alias(name)
 
     fields = [quantile("std_efficiency", 0.5, "median_std_efficiency")]
     for name in TRENDS.values():
         fields += [quantile(f"slope_{name}", low, f"low_{name}"), quantile(f"slope_{name}", high, f"high_{name}")]
-    return slopes.agg(F.struct(*fields).alias("cuts"))
+    return F.struct(*fields)
 
 
 def with_trend_labels(slopes: DataFrame) -> DataFrame:
@@ -78,7 +83,7 @@ def with_trend_labels(slopes: DataFrame) -> DataFrame:
     The score counts efficiency rising, arrears falling and roll-forward falling
     (cut points included, short series too); a NULL slope scores 0.
     """
-    with_cuts = slopes.withColumn("_cuts", cut_points(slopes).scalar())
+    with_cuts = slopes.withColumn("_cuts", cut_points())
 
     def cut(name: str) -> Column:
         return F.col("_cuts").getField(name)
