@@ -35,14 +35,18 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MARKED = frozenset(("article", "main"))
 #: Words of class, id and role that name what is not the article.
 NAMES = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion promoted banner nav navbar navigation menu submenu breadcrumb breadcrumbs "
+    "ad ads adbox adsbygoogle adslot advert adverts advertisement advertising sponsor sponsored promo promotion promoted banner nav navbar navigation menu submenu breadcrumb breadcrumbs "
     "sidebar aside widget widgets footer contentinfo complementary cookie cookies cookiebar consent gdpr notice notices notification alert popup modal overlay dialog "
     "newsletter subscribe subscription signup login search share sharing social related recommended recommendations trending comment comments commentlist disqus respond "
     "reply replies discussion copyright disclaimer pagination pager toolbar paywall".split()
 )
 #: The same, but only outside of a marked article, which may have a header of its own.
-PAGE_NAMES = frozenset("header masthead topbar branding site-header".split())
+PAGE_NAMES = frozenset("header masthead topbar branding".split())
+#: Those that an article element itself can have, as comments and teasers do; words before which a name tells of a layout.
+ARTICLE_NAMES = frozenset("ad advert comment comments reply related recommended promo sponsored teaser".split())
+LAYOUT = frozenset("has with no without".split())
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ARTICLE = re.compile(r"<(?:article|main)\b", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z0-9]+")
 
 
@@ -61,13 +65,19 @@ def _hidden(own: dict[str, str]) -> bool:
     return "hidden" in own or own.get("aria-hidden", "").lower() == "true" or "display:none" in own.get("style", "").replace(" ", "").lower()
 
 
-def _named(own: dict[str, str], inside: bool) -> bool:
-    words = {w.lower() for k in ("class", "id", "role") for w in _CAMEL.split(own.get(k, ""))}
-    return bool(words & NAMES) or (not inside and bool(words & PAGE_NAMES))
+def _named(own: dict[str, str], names: frozenset[str]) -> bool:
+    for k in ("class", "id", "role"):
+        words = [w.lower() for w in _CAMEL.split(own.get(k, ""))]
+        if any(w in names and (not i or words[i - 1] not in LAYOUT) for i, w in enumerate(words)):
+            return True
+    return False
 
 
-def lines(html: str) -> list[Line]:
-    """The blocks of a page that have text, in order; blocks of other parts than the article are empty lines."""
+def lines(html: str, reopen: bool = False) -> list[Line]:
+    """The blocks of a page that have text, in order; blocks of other parts than the article are empty lines.
+
+    reopen: an article element ends every other part that is open around it.
+    """
     out: list[Line] = []
     said: list[str] = []
     linked: list[str] = []
@@ -116,19 +126,20 @@ def lines(html: str) -> list[Line]:
             continue
         if name in VOID or raw.endswith("/"):
             continue
-        if name in MARKED and not marked:
+        if reopen and name in MARKED and not marked:
             skip.clear()
         if skip:
             if name in BLOCKS and name not in ("p", "li", "dt", "dd", "td", "th", "tr", "option") or name == skip[0]:
                 skip.append(name)
             continue
         own = _attributes(raw)
-        if name in MARKED:
-            marked += 1
-        elif name not in ("body", "html") and (name in OUTSIDE and not (name == "header" and marked) or own and (_hidden(own) or _named(own, marked > 0))):
+        names = ARTICLE_NAMES if name == "article" else frozenset() if name == "main" else NAMES if marked else NAMES | PAGE_NAMES
+        if name not in ("body", "html") and (name in OUTSIDE and not (name == "header" and marked) or own and (_hidden(own) or _named(own, names))):
             close()
             out.append(Line("", 0, marked > 0))
             skip.append(name)
+        elif name in MARKED:
+            marked += 1
         elif name == "a":
             links += 1
     close()
@@ -164,7 +175,10 @@ def main_blocks(html: str | None) -> list[str]:
     """The main text's blocks in page order; none of a page that is null, empty or has no text."""
     if not html:
         return []
-    page = weighed(lines(html))
+    page = lines(html)
+    if not any(line.marked and line.text for line in page) and _ARTICLE.search(html):  # a part around it is never closed, or is a layout
+        page = lines(html, reopen=True)
+    page = weighed(page)
     return [line.text for a, b in sections([line.weight for line in page]) for line in page[a:b] if line.text]
 
 

@@ -31,6 +31,14 @@ def test_page_without_an_article_element():
     assert main_blocks(html) == ["Title", LONG, "Short.", LONG]
 
 
+def test_other_articles_are_not_the_article():
+    related = f"<div class='related-posts'><article><h2>Other</h2><p>{LONG}</p></article></div>"
+    comment = f"<article class='comment'><p>Reader: {LONG}</p></article>"
+    html = page(f"<div class='layout with-sidebar'><main class='has-comments'><p>{LONG}</p><p>End.</p>{comment}</main>{related}</div>")
+    assert main_blocks(html) == [LONG, "End."]
+    assert main_blocks(page(f"<div class='sidebar-left'><article><p>{LONG}</p></article></div>")) == [LONG]
+
+
 def test_damaged_pages():
     assert main_blocks(page(f"<article><p>{LONG}<p>a < b &am")[:-14]) == [LONG, "a < b &am"]
     assert main_blocks(f"<article><p>{LONG}</p><p class='x") == [LONG]
