@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import adapters
 from .oracle_views import with_views
 
 LEGAL = "(4, 5)"
@@ -447,6 +448,10 @@ _ROLLUP_FROM = {
 
 def statements() -> dict[str, str]:
     """SQL of every query."""
+    return _own_statements() | adapters.statements()
+
+
+def _own_statements() -> dict[str, str]:
     v = with_views
     history = {**_HISTORY}
     score_columns = ", ".join(f"round(score_{c}_pct, 9) AS score_{c}_pct" for c in _SCORED)

@@ -18,7 +18,7 @@ from ..plans.funnels import contact_funnel, period_funnel
 from ..plans.history import history_base
 from ..plans.rollup import agency_history_rollup
 from ..sources.codes import code_map
-from . import views
+from . import adapters, views
 
 # The whole span of the order data: one look-back period, then all others.
 LOOK_BACK, FIRST, PIVOT = 199501, 199502, 200103
@@ -51,7 +51,8 @@ def _query(build: Query) -> Query:
 
 def registered() -> dict[str, Query]:
     """All queries by name."""
-    return dict(_QUERIES)
+    adapted = {f"adapter_{name}": (lambda spark, sf_dir, build=build: _publish(build(spark, sf_dir))) for name, build in adapters.QUERIES.items()}
+    return _QUERIES | adapted
 
 
 # --- keys, periods, last record -------------------------------------------------------
