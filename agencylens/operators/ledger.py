@@ -75,7 +75,7 @@ def with_cumulative_payment(payments: DataFrame, keys: Sequence[str] = ("entity_
     return payments.withColumn("payment_cumulative", F.sum("payment").over(so_far))
 
 
-# Columns summed and columns taken at closing by the payment-flow operator.
+# Columns summed and columns taken at closing, in the order of the established layout.
 FLOW_AMOUNTS = ("payment", "auto_charge_due", "auto_charge", "captation")
 CLOSING_STATE = (
     "arrears",

@@ -34,6 +34,7 @@ _SUMMED = {
     "sum_arrears": "arrears",
 }
 
+# The measures in the order of the established layout.
 MEASURES = (
     "n_clients",
     "collected",

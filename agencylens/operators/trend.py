@@ -17,7 +17,7 @@ from ..functions.stats import ols_slope
 from .quality import SKETCH_ACCURACY
 from .ratios import AGENCY_SEGMENT
 
-# weekly measure -> name of its trend
+# Weekly measure -> name of its trend, in the order of the established layout.
 TRENDS = {
     "efficiency": "efficiency",
     "avg_arrears": "arrears",

@@ -8,6 +8,9 @@ from .oracle_views import with_views
 LEGAL = "(4, 5)"
 
 
+# The label texts and thresholds in the statements below are those of the established layout.
+
+
 def _d(expression: str) -> str:
     return f"CAST({expression} AS DOUBLE)"
 
