@@ -162,7 +162,10 @@ def fit(docs: DataFrame, vocabulary: list[str]) -> tuple[list[str], np.ndarray]:
     words = texts.mapInArrow(counted, "language string, word string, n long").groupBy("language", "word").agg(F.sum("n").alias("n"))
     rows = words.groupBy("language").applyInPandas(maximised, "language string, table array<double>").collect()  # a table for each language
     rows.sort(key=lambda r: r["language"])
-    return [r["language"] for r in rows], np.array([r["table"] for r in rows]).T.reshape(-1, len(rows))
+    table = np.zeros((len(vocabulary) + 2, len(rows)))
+    for k, row in enumerate(rows):
+        table[:, k] = row["table"]
+    return [r["language"] for r in rows], table
 
 
 def identified(docs: DataFrame, keep: list[str] | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
