@@ -7,25 +7,30 @@ with these prefixes only, drops what the prefix's position and the text's length
 word. Words are compared as numbers of the benchmark's own vocabulary, so nothing is hashed and nothing can collide.
 
 Documents stream through both passes without a shuffle. The benchmark travels as a broadcast: its items are dealt into
-slices whose word bytes stay under `slice_bytes`, and every slice makes the two passes, carrying its hits with the row,
-so a benchmark of any size is exact and no broadcast outgrows the bound.
+slices whose word bytes stay under `slice_bytes` and whose arrays stay under the bound of broadcasts, and every slice
+makes the two passes, carrying its hits with the row. The windows of an item too long for a slice are dealt over several
+under the same id. So a benchmark of any size is exact and no broadcast outgrows the bound, unless a single word or id does.
 
 Nulls: a null text has no words; a null item_id shows as the empty string. Repeated item_ids are one item.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from agencylens.llm import shared as limits
 from agencylens.llm.shared import packed, shipped
 
 WINDOW = 10
 SHINGLE = 3
 SLICE_BYTES = 4 << 20
+#: Pickled bytes of a slice at most: for a word beside its own (nine numbers of its window, its entry of the vocabulary), for an item beside its id, and for all else.
+WORD_BYTES, ITEM_BYTES, FIXED_BYTES = 96, 16, 4096
 
 #: A-Z to a-z; ASCII letters, digits and bytes beyond ASCII stay; all else is a space.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -115,20 +120,39 @@ def _numbered_texts(column: pa.Array, vocabulary: dict[bytes, int]) -> Iterator[
         yield i, np.fromiter((get(w, 0) for w in said), np.int64, len(said))
 
 
+def _pieces(text: str, window: int, room: int) -> Iterator[list[bytes]]:
+    """The words of an item in pieces of at most `room` bytes of a slice (of one window at least) that hold each of its windows once."""
+    said: list[bytes] = []
+    takes = 0
+    for found in re.finditer(b"[^ ]+", text.encode().translate(_BYTES)):
+        word = found.group()
+        if len(said) >= window and takes + len(word) + WORD_BYTES > room:
+            yield said
+            said = said[len(said) - window + 1 :]
+            takes = sum(map(len, said)) + WORD_BYTES * len(said)
+        said.append(word)
+        takes += len(word) + WORD_BYTES
+    yield said
+
+
 def _slices(benchmark: DataFrame, window: int, slice_bytes: int) -> Iterator[Slice]:
     """Slices of items in the order of item_id, each read by the driver on its own."""
     text = F.coalesce("text", F.lit(""))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), text.alias("text"))
     held: list[tuple[str, list[bytes]]] = []
-    size = 0
+    size = taken = 0
+    room = limits.BROADCAST_BYTES - FIXED_BYTES
     for row in items.orderBy("item_id", "text").toLocalIterator():
-        said = words(row["text"])
-        n_bytes = sum(map(len, said))
-        if held and size + n_bytes > slice_bytes:
-            yield Slice(held, window)
-            held, size = [], 0
-        held.append((row["item_id"], said))
-        size += n_bytes
+        own = len(row["item_id"].encode()) + ITEM_BYTES
+        for said in _pieces(row["text"], window, room - own):
+            n_bytes = sum(map(len, said))
+            takes = n_bytes + WORD_BYTES * len(said) + own
+            if held and (size + n_bytes > slice_bytes or taken + takes > room):
+                yield Slice(held, window)
+                held, size, taken = [], 0, 0
+            held.append((row["item_id"], said))
+            size += n_bytes
+            taken += takes
     yield Slice(held, window)
 
 

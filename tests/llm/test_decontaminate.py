@@ -1,7 +1,10 @@
 import hashlib
 import re
 
-from agencylens.llm import decontaminate
+import numpy as np
+from pyspark import cloudpickle
+
+from agencylens.llm import decontaminate, shared
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -65,3 +68,23 @@ def test_empty_tables(spark, documents):
     assert decontaminate.decontamination_report(docs.limit(0), benchmark).collect() == []
     got = sorted(map(tuple, decontaminate.decontamination_report(docs, benchmark.limit(0)).collect()), key=str)
     assert got == brute(DOCS, [])
+
+
+def test_no_slice_outgrows_the_bound_of_broadcasts(spark, documents, monkeypatch):
+    """Short words, whose arrays are many times their bytes, and an item longer than a slice."""
+    long = " ".join(str(i % 997) for i in range(3000))
+    items = [(i, " ".join(f"{i % 7}{k % 10}" for k in range(100))) for i in range(40)] + [(50, long), (51, "two words")]
+    parts = long.split()
+    docs = [(1, " ".join(parts[a : a + 30])) for a in range(0, 2900, 290)] + [(2, long), (3, "with two words"), (4, items[3][1]), (5, "1 2 3"), (6, None)]
+    monkeypatch.setattr(shared, "BROADCAST_BYTES", 60_000)
+    given, benchmark = run(spark, documents, docs, items)
+    assert sorted(map(tuple, decontaminate.decontamination_report(given, benchmark).collect()), key=str) == brute(docs, items)
+
+
+def test_the_bytes_of_a_slice_are_counted_from_above():
+    for n in (1, 2, 3, 8):
+        items = [(str(i), [f"{(i * 100 + k) % 36**n:0{n}d}"[:n].encode() for k in range(100)]) for i in range(300)]
+        part = decontaminate.Slice(items, 10)
+        prefixes = part.prefixes({k: np.zeros(len(v), np.int64) for k, v in part.shingles.items()})
+        bound = decontaminate.FIXED_BYTES + sum(len(name) + decontaminate.ITEM_BYTES + sum(map(len, said)) + decontaminate.WORD_BYTES * len(said) for name, said in items)
+        assert len(cloudpickle.dumps((part, prefixes))) <= bound
