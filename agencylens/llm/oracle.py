@@ -67,5 +67,99 @@ FROM said LEFT JOIN hit USING (k) LEFT JOIN items USING (k)
 """
 
 
+#: The table of CRC-32, which DuckDB lacks.
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS entries)"""
+
+
+def _crc32(digits: str) -> str:
+    """Unsigned CRC-32 of bytes given in hex, beside crc_table."""
+    octets = f"list_transform(range(0, length({digits}), 2), lambda i: CAST('0x' || substr({digits}, i + 1, 2) AS BIGINT))"
+    return f"xor(4294967295, list_reduce([4294967295] || {octets}, lambda c, b: xor(c >> 8, entries[xor(c, b) % 256 + 1])))"
+
+
+def _coding() -> str:
+    """Two rounds written out, each a full scan."""
+
+    def scan(k: int) -> str:
+        away = "list_sum(list_transform(range(1, len(part) + 1), lambda i: (part[i] - entry[i]) * (part[i] - entry[i])))"
+        return f"near{k} AS MATERIALIZED (SELECT k, p, part, min({{'away': CAST(coalesce({away}, 0) AS BIGINT), 'e': e}}) AS best FROM parts JOIN book{k} USING (p) GROUP BY k, p, part)"
+
+    def moved(k: int) -> str:
+        return f"""summed{k} AS (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS mean
+  FROM (SELECT p, best.e AS e, j, sum(part[j]) AS s, count(*) AS n FROM near{k}, unnest(range(1, len(part) + 1)) AS t(j) GROUP BY ALL) GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(mean, entry) AS entry FROM book{k} LEFT JOIN summed{k} USING (p, e))"""
+
+    return f"""
+WITH finite AS (
+  SELECT * FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS k, vec_id, label, len(embedding) // 16 AS d,
+         list_transform(embedding, lambda x: CAST(floor(256 * x) AS BIGINT)) AS ints
+  FROM finite WHERE len(embedding) = (SELECT len(embedding) FROM finite GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
+parts AS MATERIALIZED (SELECT k, p, ints[p * d + 1 : (p + 1) * d] AS part FROM kept, range(16) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, k - 1 AS e, part AS entry FROM parts WHERE k <= 64),
+{scan(0)},
+{moved(0)},
+{scan(1)},
+{moved(1)},
+{scan(2)},
+coded AS (SELECT k, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.away) AS BIGINT) AS error FROM near2 GROUP BY k)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM kept JOIN coded USING (k)
+"""
+
+
+def _merkle_field(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_merkle_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _merkle_tree(nodes: str, levels: str) -> str:
+    """All levels of the trees in `nodes` (tree, i, h), and every node's siblings."""
+    return f"""{levels} AS (
+  SELECT tree, 0 AS level, i, h, count(*) OVER (PARTITION BY tree) AS n FROM {nodes}
+  UNION ALL
+  SELECT tree, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM {levels} WHERE n > 1 GROUP BY tree, level, i // 3),
+{levels}_siblings AS (
+  SELECT a.tree, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM {levels} a JOIN {levels} b ON a.tree = b.tree AND a.level = b.level AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL)"""
+
+
+def _merkle_fold(start: str, folds: str, levels: str) -> str:
+    return f"""{folds} AS (
+  SELECT * FROM {start}
+  UNION ALL
+  SELECT r, f.tree, level + 1, f.i // 3, sha256(before || current || after), proof || before || after FROM {folds} f JOIN {levels}_siblings s USING (tree, level, i)),
+{folds}_ends AS (SELECT f.* FROM {folds} f JOIN {levels} l USING (tree, level, i) WHERE l.n = 1)"""
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+  SELECT doc_id, source, text, {_merkle_leaf("text")} AS leaf, {_merkle_leaf("replace(text, chr(10), '')")} AS broken,
+         coalesce({_crc32("hex(encode(CAST(doc_id AS VARCHAR)))")} % 2 = 0, false) AS even
+  FROM documents, crc_table),
+placed AS MATERIALIZED (
+  SELECT *, coalesce(':' || source, '-') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h, row_number() OVER () AS r FROM leaves),
+{_merkle_tree("placed", "lower_levels")},
+tops AS MATERIALIZED (SELECT tree AS name, '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, h FROM lower_levels WHERE n = 1),
+{_merkle_tree("tops", "upper_levels")},
+started AS (SELECT r, tree, 0 AS level, i, CASE WHEN even THEN broken ELSE leaf END AS current, '' AS proof FROM placed),
+{_merkle_fold("started", "lower_folds", "lower_levels")},
+risen AS (SELECT r, '' AS tree, 0 AS level, tops.i, current, proof FROM lower_folds_ends f JOIN tops ON tops.name = f.tree),
+{_merkle_fold("risen", "upper_folds", "upper_levels")}
+SELECT doc_id, leaf, tops.h AS subroot, (SELECT h FROM upper_levels WHERE n = 1) AS root, sha256(proof) AS proof_sha256, current AS folded_root,
+       current = (SELECT h FROM upper_levels WHERE n = 1) AS verified
+FROM placed JOIN upper_folds_ends USING (r) JOIN tops ON tops.name = placed.tree
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op8_prefix_filter_decontamination": DECONTAMINATION, "op9_jump_shards": JUMP_SHARDS, "op10_chat_format": CHAT_FORMAT}
+    return {"op8_prefix_filter_decontamination": DECONTAMINATION, "op9_jump_shards": JUMP_SHARDS, "op10_chat_format": CHAT_FORMAT, "op11_active_entry_lloyd": _coding(), "op13_checkpointed_merkle": MERKLE_MANIFEST}

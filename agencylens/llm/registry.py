@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agencylens.llm import chat, decontaminate, html_text, language, mixing, nearest, oracle, pii, sharding, simhash, toxicity
+from agencylens.llm import chat, codes, decontaminate, fingerprints, html_text, language, merkle, mixing, nearest, oracle, pii, sharding, simhash, toxicity
 from agencylens.llm.shared import table
 
 
@@ -55,7 +55,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(turns.unionByName(added))
 
 
-QUERIES = (op1_line_block_extraction, op2_subset_sum_mix, op3_ftrl_toxicity, op4_skip_chain_pii, op5_unigram_language, op6_bitsliced_simhash, op7_adaptive_dimension_scan, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format)
+def op11_active_entry_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.coding_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_consistent_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+def op13_checkpointed_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_line_block_extraction, op2_subset_sum_mix, op3_ftrl_toxicity, op4_skip_chain_pii, op5_unigram_language, op6_bitsliced_simhash, op7_adaptive_dimension_scan, op8_prefix_filter_decontamination, op9_jump_shards, op10_chat_format, op11_active_entry_lloyd, op12_consistent_sampling, op13_checkpointed_merkle)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -56,7 +56,17 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder as Parquet and read again."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows.stored_at = path
+    return rows
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what `stored` wrote for these frames, which nothing may read any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Shipped:
