@@ -21,43 +21,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from agencylens.llm.shared import packed, stored
+from agencylens.llm.shingles import FIRST, SECOND, mixed, run_hashes
 
-SHINGLE, SAMPLES, SEED = 5, 128, 42
+SHINGLE, SAMPLES = 5, 128
 #: Terms whose samples are drawn at a time.
 CHUNK = 256
-#: Multipliers of two published mixing functions, of 32 and of 64 bits.
-SMALL, OTHER = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
-FIRST, SECOND, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+#: Multipliers of a published 32-bit mixing function, and the step of a 64-bit one.
+SMALL, OTHER, STEP = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35), np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * FIRST
-    x = (x ^ (x >> np.uint64(27))) * SECOND
-    return x ^ (x >> np.uint64(31))
-
-
-_OWN = (_mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * STEP) >> np.uint64(32)).astype(np.uint32)
-_PLACES = _mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
+_OWN = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * STEP) >> np.uint64(32)).astype(np.uint32)
 
 
 def terms(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles and their weights."""
-    words = text.encode().lower().split()  # of bytes: ASCII letters and ASCII white space only
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    digest = xxhash.xxh64_intdigest
-    own = np.fromiter((digest(w, SEED) for w in words), np.uint64, len(words))
-    width = min(SHINGLE, len(own))
-    runs = own[: len(own) - width + 1] * _PLACES[0]
-    for k in range(1, width):
-        runs += own[k : k + len(runs)] * _PLACES[k]
-    return np.unique(_mixed(runs), return_counts=True)
+    return np.unique(run_hashes(text.encode(), SHINGLE), return_counts=True)
 
 
 class Sampler:
@@ -93,7 +76,7 @@ class Sampler:
         for at in range(0, len(more), CHUNK):
             some = more[at : at + CHUNK]
             drawn = self._drawn(hashes[some]).astype(np.uint64)
-            a, b, e = _exponential(drawn), _exponential(_mixed(drawn + FIRST) >> np.uint64(32)), _exponential(_mixed(drawn + SECOND) >> np.uint64(32))
+            a, b, e = _exponential(drawn), _exponential(mixed(drawn + FIRST) >> np.uint64(32)), _exponential(mixed(drawn + SECOND) >> np.uint64(32))
             c = a + b
             r = e - np.log(a / c)
             share = e / r
@@ -104,7 +87,7 @@ class Sampler:
             wins = found < least
             least = np.where(wins, found, least)
             name = np.where(wins, drawn + t.astype(np.int64).astype(np.uint64) * STEP, name)
-        return np.maximum(_mixed(name) & np.uint64(0xFFFF), np.uint64(1)).astype("<u2")
+        return np.maximum(mixed(name) & np.uint64(0xFFFF), np.uint64(1)).astype("<u2")
 
     def fingerprint(self, text: str | None) -> np.ndarray:
         return self.sampled(*terms(text or ""))

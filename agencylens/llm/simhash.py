@@ -198,12 +198,3 @@ def _named(marked: DataFrame) -> DataFrame:
     named = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return marked.join(least.drop("doc_id").join(named, "root"), "fp")
 
-
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group, unchanged: that of the smallest doc_id (of equal ones, any one row)."""
-    marked = cut(fingerprints(docs, keep=["doc_id"]).select("doc.doc_id", "fp"))
-    named = _named(marked)
-    stays = named.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("fp").alias("fp"), F.first("component_id").alias("component_id"))
-    rows = fingerprints(docs)
-    joined = rows.join(stays.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & F.col("doc.doc_id").eqNullSafe(F.col("component_id")))
-    return joined.dropDuplicates(["root"]).select("doc.*")

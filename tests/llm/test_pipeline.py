@@ -1,8 +1,9 @@
 import pytest
 
 import corpus_pipeline
-from agencylens.llm import decontaminate, mixing, simhash, toxicity
+from agencylens.llm import decontaminate, mixing, toxicity
 from agencylens.llm.shared import stored, table
+from tests.llm.test_similar import survivors
 
 
 def test_stages_and_their_columns():
@@ -15,9 +16,8 @@ def test_run_equals_the_decisions_one_by_one(spark, small):
     rejected = {r["doc_id"] for r in toxicity.toxicity_report(docs, table(spark, small, "labels")).filter("predicted = 1").collect()}
     kept = stored(corpus_pipeline.reject_toxic(spark, docs, small))
     assert kept.columns == docs.columns and ids(kept) == [i for i in ids(docs) if i not in rejected]
-    groups = simhash.near_duplicates(kept).collect()
     single = stored(corpus_pipeline.drop_near_duplicates(spark, kept, small))
-    assert single.columns == docs.columns and ids(single) == sorted({r["component_id"] for r in groups})
+    assert single.columns == docs.columns and ids(single) == survivors([(r["doc_id"], r["text"]) for r in kept.collect()])
     report = decontaminate.decontamination_report(single, table(spark, small, "benchmark")).collect()
     clean = stored(corpus_pipeline.decontaminated(spark, single, small))
     assert clean.columns == docs.columns and ids(clean) == sorted(r["doc_id"] for r in report if not r["contaminated"])
