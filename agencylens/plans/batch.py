@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.calendar import find_period_around
-from ..operators.score import agency_score
-from ..sources.sinks import save_table
+from ..operators.score import Metric, agency_score
+from ..sources.sinks import drop_table, publish_tables, stage_table
 from .dataset import Store, agency_base, agency_dataset, agency_features, agency_profile
 from .history import history_base
 
@@ -78,29 +78,38 @@ def run_batch(
     table_out: str,
     n_periods: int = 12,
     scored_table: str | None = None,
+    metrics: Mapping[str, Metric] | None = None,
+    orientation: str = "reference",
+    method: str = "window",
 ) -> None:
-    """Build and save ``<table_out>_history`` and ``<table_out>``; errors propagate.
+    """Build and save ``<table_out>_history`` and ``<table_out>``, and the scores if ``scored_table`` is named.
 
     History is written once, by period, and the features read that table: later
-    runs prune to the periods they need. The small tables in between lie beside
-    it and are dropped at the end.
+    runs prune to the periods they need. All tables are written beside the former
+    ones and take their names together at the end. An error propagates and leaves
+    the former tables; tables in between are dropped either way. ``metrics``,
+    ``orientation`` and ``method`` are those of ``agency_score``.
     """
-    passing = []
+    spark = inputs.calendar.sparkSession
+    start, look_back = period_bounds(inputs.calendar, pivot, n_periods)
+    staged: dict[str, str] = {}
+    passing: list[str] = []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         table = f"{table_out}_{name}"
         if name == "history":
-            save_table(df, table, partition_by=("period",))
-        else:
-            passing.append(table)
-            save_table(df, table)
-        return df.sparkSession.table(table)
-
-    start, look_back = period_bounds(inputs.calendar, pivot, n_periods)
-    _, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods, keep)
-    save_table(dataset, table_out)
-    if scored_table is not None:
-        stored = dataset.sparkSession.table(table_out)
-        save_table(agency_score(stored), scored_table)
-    for table in passing:
-        dataset.sparkSession.sql(f"DROP TABLE {table}")
+            staged[table] = stage_table(df, table, partition_by=("period",))
+            return spark.table(staged[table])
+        passing.append(stage_table(df, table))
+        return spark.table(passing[-1])
+
+    try:
+        _, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods, keep)
+        staged[table_out] = stage_table(dataset, table_out)
+        if scored_table is not None:
+            scored = agency_score(spark.table(staged[table_out]), metrics, orientation, method)
+            staged[scored_table] = stage_table(scored, scored_table)
+        publish_tables(spark, staged)
+    finally:
+        for table in (*passing, *staged.values()):
+            drop_table(spark, table)

@@ -292,6 +292,10 @@ _PROFILE = {
         SELECT * EXCLUDE (phone, postcode, external_company, legal_name, email, tax_id, tax_suffix, start_ms, end_ms),
                {_VALIDITY}, {_TENURE}, {_CAPACITY_RATIOS} FROM p4""",
 }
+# The batch run cuts its profile to the legal segments and scores the data set, not the features.
+_BATCH_PROFILE = {"legal_base": f"SELECT * FROM v_base WHERE segment IN {LEGAL}"} | {k: sql.replace("v_base", "legal_base") for k, sql in _PROFILE.items()}
+_BATCH = {**_FEATURES, **_BATCH_PROFILE, "data_set": "SELECT * FROM profile JOIN features USING (agency, segment)"}
+_BATCH_SCORE = _BATCH | {k: _SCORE[k].replace("FROM features", "FROM data_set") for k in ("percentiles", "final")}
 _CHECKED = ("segment", "status", "agency_type", "management_type", "interface_enabled")
 _SNAPSHOT_COLUMNS = (
     "entity_id", "country", "channel", "branch", "folio", "period", "segment", "arrears", "balance", "last_payment",
@@ -581,6 +585,24 @@ def _own_statements() -> dict[str, str]:
                      WHEN score_final >= 40 THEN 'Desempeño medio' WHEN score_final >= 20 THEN 'Bajo desempeño' ELSE 'Crítico' END AS band
                 FROM final""",
         ),
+        "batch_run_scored": v(
+            (*_HISTORY_VIEWS, "v_base"),
+            _BATCH_SCORE,
+            f"""SELECT agency, segment, {score_columns}, round(score_final, 9) AS score_final,
+                CAST(rank() OVER (PARTITION BY segment ORDER BY score_final DESC) AS INTEGER) AS rank,
+                CASE WHEN score_final >= 80 THEN 'Élite' WHEN score_final >= 60 THEN 'Buen desempeño'
+                     WHEN score_final >= 40 THEN 'Desempeño medio' WHEN score_final >= 20 THEN 'Bajo desempeño' ELSE 'Crítico' END AS band
+                FROM final""",
+        ),
+        "batch_run": v((*_HISTORY_VIEWS, "v_base"), _BATCH, "SELECT * FROM data_set"),
+        "batch_run_history": v(
+            _HISTORY_VIEWS,
+            history,
+            f"""SELECT * REPLACE ({_d("balance")} AS balance, {_d("required_payment")} AS required_payment, {_d("collected")} AS collected,
+                {_d("auto_charge")} AS auto_charge, {_d("captation")} AS captation) FROM history WHERE period BETWEEN 199502 AND 200103""",
+        ),
+        "table_sink": v(("v_ledger",), {"p": _payments("entity_id")}, f"SELECT entity_id, period, {_d('payment')} AS payment, payment_indicator FROM p"),
+        "csv_sink": v(("v_ledger",), {"p": _payments("entity_id")}, f"SELECT entity_id, period, {_d('payment')} AS payment, payment_indicator FROM p"),
         "agency_base": v(("v_base",), {}, "SELECT * FROM v_base"),
         "null_fill": v(("v_base",), {}, f"{base_keys}, coalesce(external_company, '') AS external_company FROM v_base"),
         "sparse_row_drop": v(("v_base",), {}, f"{base_keys} FROM v_base WHERE {_SPARSE}"),

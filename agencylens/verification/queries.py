@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,6 +12,7 @@ from ..functions.keys import composite_key
 from ..functions.periods import epoch_ms_to_date, period_from_parts
 from ..operators import calendar, cohort, latest, ledger, population, profiling, quality, ratios, transitions, trend, visits
 from ..operators.score import agency_score
+from ..plans.batch import Inputs, run_batch
 from ..plans.check import CHECKED_COLUMNS
 from ..plans.cohort import entry_cohort
 from ..plans.dataset import agency_base, agency_dataset, agency_features, agency_profile
@@ -18,6 +20,7 @@ from ..plans.funnels import contact_funnel, period_funnel
 from ..plans.history import history_base
 from ..plans.rollup import agency_history_rollup
 from ..sources.codes import code_map
+from ..sources.sinks import export_csv, save_table
 from . import adapters, views
 
 # The whole span of the order data: one look-back period, then all others.
@@ -277,7 +280,10 @@ def agency_score_split(spark, sf_dir):
 def _scored(spark, sf_dir, method):
     features = _features(spark, sf_dir)
     # the split method reads its input several times
-    scored = agency_score(features.persist() if method == "split" else features, method=method)
+    return _rounded(agency_score(features.persist() if method == "split" else features, method=method))
+
+
+def _rounded(scored):
     percentiles = [c for c in scored.columns if c.startswith("score_")]
     return scored.select("agency", "segment", *[F.round(c, SLOPE_DIGITS).alias(c) for c in percentiles], "rank", "band")
 
@@ -377,6 +383,63 @@ def row_and_key_totals(spark, sf_dir):
     return profiling.row_and_key_totals(views.ledger(spark, sf_dir))
 
 
+# --- sinks and the batch run: written, then read back ---------------------------------
+
+
+def _own_name(spark, name):
+    """A table name that no other application's tables have, which may lie in the same warehouse."""
+    return f"agencylens_{name}_{re.sub('[^0-9a-zA-Z]', '_', spark.sparkContext.applicationId)}"
+
+
+def _batch(spark, sf_dir, **scoring):
+    """Run the batch over all periods and return its table's name."""
+    inputs = Inputs(
+        views.calendar(spark, sf_dir),
+        views.snapshot(spark, sf_dir),
+        views.ledger(spark, sf_dir),
+        views.agency_segments(spark, sf_dir),
+        views.agency_master(spark, sf_dir),
+        views.SNAPSHOT_ORDER,
+        views.LEDGER_ORDER,
+    )
+    name = _own_name(spark, "batch")
+    run_batch(inputs, PIVOT, LEGAL, AS_OF_MS, name, N_PERIODS, f"{name}_scored", **scoring)
+    return name
+
+
+@_query
+def batch_run(spark, sf_dir):
+    return spark.table(_batch(spark, sf_dir))
+
+
+@_query
+def batch_run_history(spark, sf_dir):
+    return spark.table(f"{_batch(spark, sf_dir)}_history")
+
+
+@_query
+def batch_run_scored(spark, sf_dir):
+    return _rounded(spark.table(f"{_batch(spark, sf_dir, method='split')}_scored"))
+
+
+@_query
+def table_sink(spark, sf_dir):
+    """Saved by period, one period saved again: the others stay."""
+    paid = ledger.payments_by_period(views.ledger(spark, sf_dir), LOOK_BACK, PIVOT)
+    name = _own_name(spark, "payments")
+    save_table(paid, name, partition_by=("period",))
+    save_table(paid.where(F.col("period") == PIVOT), name, ("period",), keep_other_partitions=True)
+    return spark.table(name)
+
+
+@_query
+def csv_sink(spark, sf_dir):
+    paid = ledger.payments_by_period(views.ledger(spark, sf_dir), LOOK_BACK, PIVOT)
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/{_own_name(spark, 'payments')}_csv"
+    export_csv(paid, path)
+    return spark.read.schema(paid.schema).csv(path, header=True)
+
+
 # --- visits and funnels ---------------------------------------------------------------
 
 

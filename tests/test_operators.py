@@ -426,6 +426,27 @@ def test_profile_tells_values_apart(spark):
     assert got == {"d": (0, expected["d"]), "l": (1, expected["l"]), "s": (1, 2)}
 
 
+def test_profile_of_maps_and_no_rows(spark):
+    df = spark.sql("SELECT * FROM VALUES (map('a', 0.0D, 'b', 1.0D), 'x'), (map('b', 1.0D, 'a', -0.0D), 'x'), (map('a', 1.0D), null), (null, '') AS t(m, `a.b`)").withColumnRenamed("a.b", "a_b")
+    got = {r["column"]: (r["nulls"], r["distinct"], r["non_nulls"]) for r in profiling.column_profile(df).collect()}
+    assert got == {"m": (1, 2, 3), "a_b": (1, 2, 3)}
+    assert profiling.column_profile(df.limit(0)).collect() == []
+
+
+def test_profile_shuffles_no_text_and_sketches_come_close(spark, plan_of):
+    df = spark.range(20_000).selectExpr("IF(id % 4 = 0, NULL, id % 9000) AS a", "repeat(cast(id AS string), 50) AS b")
+    exact = {r["column"]: r for r in profiling.column_profile(df).collect()}
+    close = {r["column"]: r for r in profiling.column_profile(df, method="sketch").collect()}
+    for name, row in exact.items():
+        assert (row["nulls"], row["non_nulls"]) == (close[name]["nulls"], close[name]["non_nulls"])
+        assert abs(row["distinct"] - close[name]["distinct"]) < 0.03 * row["distinct"]
+    assert exact["a"]["distinct"] == 9000 - 9000 // 4
+    for line in plan_of(profiling.column_profile(df)).splitlines():
+        assert "Exchange hashpartitioning" not in line or "value" not in line
+    with pytest.raises(ValueError, match="method"):
+        profiling.column_profile(df, method="guess")
+
+
 def test_value_frequencies(spark):
     df = spark.createDataFrame([(1,), (1,), (None,)], "a int")
     assert [tuple(r) for r in profiling.value_frequencies(df, ["a"]).collect()] == [("a", "1", 2), ("a", None, 1)]

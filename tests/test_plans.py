@@ -100,6 +100,74 @@ def test_batch_run_raises(spark, small):
         batch.run_batch(inputs(spark, small), 199502, queries.LEGAL, queries.AS_OF_MS, "never", n_periods=8)
 
 
+def test_a_failed_batch_run_leaves_the_former_tables(spark, small, monkeypatch):
+    for name in ("kept", "kept_history", "kept_scored"):
+        sinks.save_table(spark.range(3), name)
+    before = {t.name for t in spark.catalog.listTables()}
+    run = lambda: batch.run_batch(inputs(spark, small), 200101, queries.LEGAL, queries.AS_OF_MS, "kept", n_periods=8, scored_table="kept_scored", metrics={"none": batch.Metric(1, 1)})
+    with pytest.raises(ValueError, match="active metrics"):  # after history and data set are written
+        run()
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert [spark.table(n).count() for n in ("kept", "kept_history", "kept_scored")] == [3, 3, 3]
+
+
+def test_batch_run_takes_the_scoring(spark, small):
+    metrics = {"pct_clients_paid": batch.Metric(1, 1)}
+    run = lambda **k: batch.run_batch(inputs(spark, small), 200101, queries.LEGAL, queries.AS_OF_MS, "by_paid", 8, "by_paid_scored", metrics, **k)
+    run(orientation="higher_is_better", method="split")
+    scored = spark.table("by_paid_scored").where("pct_clients_paid IS NOT NULL")
+    assert {c for c in scored.columns if c.startswith("score_")} == {"score_pct_clients_paid_pct", "score_final"}
+    by_segment = scored.groupBy("segment").agg(F.max_by("pct_clients_paid", "score_final").alias("of_best"), F.max("pct_clients_paid").alias("best")).collect()
+    assert by_segment and all(r["of_best"] == r["best"] for r in by_segment)
+
+
+def test_tables_come_back_if_one_cannot_be_named(spark):
+    for name in ("one", "two"):
+        sinks.save_table(spark.range(1), name)
+    staged = {name: sinks.stage_table(spark.range(5), name) for name in ("one", "two")}
+    with pytest.raises(Exception):
+        sinks.publish_tables(spark, staged | {"three": "not_there"})
+    assert spark.table("one").count() == spark.table("two").count() == 1
+    assert not [t.name for t in spark.catalog.listTables() if "__former" in t.name or t.name == "three"]
+    for beside in staged.values():
+        sinks.drop_table(spark, beside)
+
+
+def test_a_table_can_be_saved_from_itself(spark):
+    sinks.save_table(spark.range(4), "default.own")
+    sinks.save_table(spark.table("own").where("id > 0"), "default.own")
+    assert spark.table("own").count() == 3
+    failing = spark.range(2).select(F.raise_error(F.lit("no")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="no"):
+        sinks.save_table(failing, "default.own")
+    assert spark.table("own").count() == 3 and not spark.catalog.tableExists("own__staged")
+
+
+def test_partitions_of_any_value_follow_their_table(spark):
+    rows = [(1, "a b", 1), (2, "it's", 2), (3, "x/y=%", 3), (4, None, 4), (5, "ñ\\", None)]
+    df = spark.createDataFrame(rows, "v int, p string, q int")
+    for _ in range(2):
+        sinks.save_table(df, "valued", partition_by=("p", "q"))
+        assert sorted(map(tuple, spark.table("valued").select("v", "p", "q").collect())) == rows
+
+
+def test_replacing_partitions_changes_no_option_and_keeps_the_rest_on_failure(spark):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    df = spark.createDataFrame([(1, 10), (2, 20)], "v int, p int")
+    sinks.save_table(df, "by_p", partition_by=("p",))
+    before = spark.conf.get(mode)
+    sinks.save_table(spark.createDataFrame([(30, 3), (10, 5)], "p int, v int"), "by_p", ("p",), keep_other_partitions=True)
+    assert spark.conf.get(mode) == before
+    assert sorted(map(tuple, spark.table("by_p").select("p", "v").collect())) == [(10, 5), (20, 2), (30, 3)]
+    failing = df.withColumn("v", F.when(F.col("p") == 20, F.raise_error(F.lit("no")).cast("int")).otherwise(9))
+    with pytest.raises(Exception, match="no"):
+        sinks.save_table(failing, "by_p", ("p",), keep_other_partitions=True)
+    assert sorted(map(tuple, spark.table("by_p").select("p", "v").collect())) == [(10, 5), (20, 2), (30, 3)]
+    sinks.save_table(df, "plain")
+    with pytest.raises(ValueError, match="no partitions"):
+        sinks.save_table(df, "plain", keep_other_partitions=True)
+
+
 def test_save_table_replaces_all_or_single_partitions(spark):
     df = spark.createDataFrame([(1, 10), (2, 20)], "v int, p int")
     sinks.save_table(df, "parted", partition_by=("p",))
