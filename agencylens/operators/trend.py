@@ -2,7 +2,7 @@
 
 A series is one agency-segment's observed periods, so its window and its
 regression are bounded by the calendar. Cut points are quantiles over all
-series, computed in the plan as a one-row scalar subquery.
+series, computed in the plan as one row of merged sketches.
 """
 
 from __future__ import annotations
@@ -59,22 +59,22 @@ def trend_slopes(weekly: DataFrame, null_handling: str = "reference") -> DataFra
     return with_time_index(weekly).groupBy(*AGENCY_SEGMENT).agg(*trend_aggregates(null_handling))
 
 
-def cut_points() -> Column:
-    """Struct ``cuts`` over all rows: terciles of every slope, median deviation.
+def cut_points(slopes: DataFrame) -> DataFrame:
+    """One row with struct ``cuts``: terciles of every slope, median deviation.
 
-    A window over the whole table, which has a row for each agency and segment,
-    not for facts: the measures behind the slopes are evaluated once.
+    Mergeable sketches: every task sends one of each, whatever the number of series.
     """
     low, high = TERCILES
-    everything = Window.partitionBy()
 
     def quantile(column: str, q: float, name: str) -> Column:
-        return F.percentile_approx(column, F.lit(q), F.lit(SKETCH_ACCURACY)).over(everything).alias(name)
+        return F.percentile_approx(column, F.lit(q), F.lit(SKETCH_ACCURACY)).alias(name)
 
     fields = [quantile("std_efficiency", 0.5, "median_std_efficiency")]
     for name in TRENDS.values():
         fields += [quantile(f"slope_{name}", low, f"low_{name}"), quantile(f"slope_{name}", high, f"high_{name}")]
-    return F.struct(*fields)
+    # of all columns, so that this reads the very shuffle that the labels read, not a narrower one
+    read = F.max(F.xxhash64(*[F.col(c) for c in slopes.columns])).alias("read")
+    return slopes.agg(F.struct(*fields, read).alias("_cuts"))
 
 
 def with_trend_labels(slopes: DataFrame) -> DataFrame:
@@ -82,8 +82,14 @@ def with_trend_labels(slopes: DataFrame) -> DataFrame:
 
     The score counts efficiency rising, arrears falling and roll-forward falling
     (cut points included, short series too); a NULL slope scores 0.
+
+    Series are laid out once, and that shuffle feeds cut points and labels: what
+    lies behind the slopes is evaluated once.
     """
-    with_cuts = slopes.withColumn("_cuts", cut_points())
+    # by a hash of the keys, as the planner would drop a shuffle by the keys themselves and evaluate the slopes twice
+    laid = slopes.repartition(F.xxhash64(*AGENCY_SEGMENT))
+    # one row; it is missing only if there are no series
+    with_cuts = laid.join(F.broadcast(cut_points(laid)), F.col("_cuts.read").isNotNull())
 
     def cut(name: str) -> Column:
         return F.col("_cuts").getField(name)
