@@ -4,8 +4,14 @@ Base spans follow fixed patterns and always stay. Nodes of the field are the bas
 kind's check, and tokens in other formats (dotted or slashed numbers, spelled-out addresses) whose label no pattern tells.
 Chain edges join neighbours. Skip edges join distant nodes of the same value, its digits or its address in canonical form,
 or of the same number with and without its leading digits. Loopy message passing makes their labels agree, and a token
-whose marginal for a kind reaches `SURE` is a span too. So a number that was written in one place as the patterns know it
-is found in every place of the document, while numbers that fail a check are left alone.
+whose marginal for a kind reaches `SURE` is a span too. A number that failed a check, but that skip edges join with a base
+span, is such a token: its pattern was not the one that it follows. So a number that was written in one place as the
+patterns know it is found in every place of the document, while other numbers that fail a check are left alone. A document
+without a base span has nothing to agree with and gains none.
+
+Every text is walked whole, however long. Repeated rows are found alike, row by row; the original columns travel in one
+struct, so no column name clashes; a doc_id of another type than an integer keeps its type. Repeated ids of the sample send
+all their rows to the field's training, of which `TRAIN_NODES` nodes are kept. An empty table gives an empty result.
 
 The weights are learned by pseudo-likelihood, pulled towards `PRIOR_SAME` for equal labels on skip edges, from the nodes of
 at most `TRAIN_ROWS` documents, those with the smallest hash of their id, and `TRAIN_NODES` nodes in all, their base spans
@@ -33,13 +39,16 @@ TRAIN_ROWS, TRAIN_NODES = 4096, 1 << 16
 PRIOR_SAME, SURE, ROUNDS, DAMPING = 5.0, 0.9, 12, 0.5
 #: Digits that two numbers must share at their ends to be joined.
 SHARED_DIGITS = 9
+#: Fixed value: the digits of the longest number of any kind.
+MOST_DIGITS = 19
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().,/_: ‐-―-]{0,2}[0-9]){8,}")
+_NUMBER = re.compile(r"\+?\(?[0-9](?:(?![,.:;]\x20)[\x20().,/_: ‐-―-]{0,2}[0-9]){8,}")
+_SPACED = re.compile(r"[^\x20]+")
 _AT = re.compile(r"[ \t]?(?:@|[(\[{][ \t]?(?:at|AT|@)[ \t]?[)\]}])[ \t]?")
 _NAME = re.compile(r"[\w.%+-]")
 _HOST = re.compile(r"[\w-]+(?:[ \t]?(?:\.|[(\[{][ \t]?(?:dot|DOT|\.)[ \t]?[)\]}])[ \t]?[\w-]+)+")
@@ -117,7 +126,7 @@ class Node(NamedTuple):
     key: str
     #: features that any token has
     shape: tuple[int, ...]
-    #: what a pattern says: kind + 1 of a base span, 5 of a number that failed, 6 of another format
+    #: what a pattern says: kind + 1 of a base span, 5 of a number that failed, 6 of another format or joined with a base span
     rule: int
 
 
@@ -137,6 +146,14 @@ def _key(said: str) -> str:
     return re.sub(r"[ \t]", "", address).lower() if "@" in address else _digits(said)
 
 
+def _numbers(run: re.Match[str]) -> Iterator[tuple[int, int]]:
+    """A run of digits; of one that is longer than any kind, the parts between spaces that can be a number."""
+    parts = [run] if len(_digits(run[0])) <= MOST_DIGITS else _SPACED.finditer(run.string, run.start(), run.end())
+    for part in parts:
+        if SHARED_DIGITS <= len(_digits(part[0])) <= MOST_DIGITS:
+            yield part.start(), part.end()
+
+
 class _Cover:
     """The places that some spans cover."""
 
@@ -150,6 +167,9 @@ class _Cover:
                 self.starts.append(span.start)
                 self.ends.append(span.end)
 
+    def gaps(self, end: int) -> Iterator[tuple[int, int]]:
+        return zip([0, *self.ends], [*self.starts, end], strict=True)
+
     def meets(self, start: int, end: int) -> bool:
         at = bisect_right(self.ends, start)
         return at < len(self.starts) and self.starts[at] < end
@@ -159,11 +179,20 @@ def nodes(text: str, good: list[Span], failed: list[Span]) -> list[Node]:
     """Base spans and candidates by start; a candidate that touches a base span is none."""
     out = [(s.start, s.end, s.kind + 1) for s in good]
     taken, plain = _Cover(good), _Cover([s for s in failed if s.kind != 1 and s.end - s.start >= SHARED_DIGITS])
-    found = [(m.start(), m.end()) for m in _NUMBER.finditer(text)]
+    found = [part for a, b in taken.gaps(len(text)) for m in _NUMBER.finditer(text, a, b) for part in _numbers(m)]
     if "@" in text or "(" in text or "[" in text or "{" in text:
         found += list(_addresses(text))
     out += [(a, b, 5 if plain.meets(a, b) else 6) for a, b in found if not taken.meets(a, b)]
-    return [Node(a, b, key := _key(text[a:b]), _shape(text[a:b], key), rule) for a, b, rule in sorted(out)]
+    return released([Node(a, b, key := _key(text[a:b]), _shape(text[a:b], key), rule) for a, b, rule in sorted(out)])
+
+
+def released(own: list[Node]) -> list[Node]:
+    """Numbers that failed a check, but that skip edges join with a base span, as tokens whose label no pattern tells."""
+    first = list(range(len(own)))
+    for i, j in skips(own):  # each node has at most one edge to an earlier one
+        first[j] = first[i]
+    agreeing = {first[i] for i, n in enumerate(own) if n.rule <= len(KINDS)}
+    return [n._replace(rule=6) if n.rule == 5 and first[i] in agreeing else n for i, n in enumerate(own)]
 
 
 def skips(own: list[Node]) -> list[tuple[int, int]]:
@@ -288,13 +317,13 @@ def fit(docs: DataFrame) -> Weights:
             for doc_id, text in zip(batch.column("id"), batch.column("text"), strict=True):
                 said = text.as_py() or ""
                 rows += [(doc_id.as_py(), *node) for node in nodes(said, *base_spans(said))]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64())
+            types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64())
             columns = list(zip(*rows, strict=True)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id", "start", "end", "key", "shape", "rule"])
 
-    schema = "id long, start long, end long, key string, shape array<long>, rule long"
-    rows = texts.select(F.col("id").cast("long").alias("id"), "text").mapInArrow(found, schema).orderBy(F.xxhash64("id"), "id", "start", "end").limit(TRAIN_NODES).collect()
-    documents: dict[int, list[Node]] = {}
+    schema = "id string, start long, end long, key string, shape array<long>, rule long"
+    rows = texts.select(F.col("id").cast("string").alias("id"), "text").mapInArrow(found, schema).orderBy(F.xxhash64("id"), "id", "start", "end").limit(TRAIN_NODES).collect()
+    documents: dict[str, list[Node]] = {}
     for r in rows:
         documents.setdefault(r["id"], []).append(Node(r["start"], r["end"], r["key"], tuple(r["shape"]), r["rule"]))
     return train(list(documents.values()))
