@@ -3,7 +3,12 @@
 A text's features are the distinct hashes of its words, its pairs of neighbours and its pairs with one word between. Every
 coordinate has a learning rate of its own and is zero until its gradients outweigh L1, so what is left of 2^20 coordinates
 is a small list of weights, which is broadcast. Training sees at most `TRAIN_ROWS` labelled documents, those with the
-smallest hash of their id, in one task and in that order; scoring streams over all documents without a shuffle.
+smallest hash of their id, in one task and in that order, and of them as many as have `TRAIN_COORDINATES` features together;
+scoring streams over all documents without a shuffle.
+
+Rows that share a doc_id count once in training, with the least of their feature lists, and are scored row by row. Very long
+texts are scored whole; their features are distinct, so at most 2^20. A null or empty text has no feature and scores the
+bias. Original columns travel in one struct, so no name clashes. Equal hashes of ids are ordered by the id.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from agencylens.llm.shared import held_out, packed, shipped
 
 #: The bound of the training sample, in rows.
 TRAIN_ROWS = 8192
+#: The bound of the training sample's features, 4 bytes each in the training task.
+TRAIN_COORDINATES = 1 << 26
 EPOCHS = 5
 SPACE = 1 << 20
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 1.0
@@ -59,7 +66,7 @@ def train(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple
     return live, (np.sign(z[live]) * L1 - z[live]) / ((BETA + np.sqrt(n[live])) / ALPHA + L2), bias
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, coordinates_in_all: int = TRAIN_COORDINATES) -> tuple[np.ndarray, np.ndarray, float]:
     """The model, from labelled documents that are not held out.
 
     Null labels are left out, of several for one document the largest counts. Without any label the bias is that of a
@@ -75,14 +82,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(own, pa.binary())], ["id", "label", "own"])
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples = []
+        examples, size = [], 0
         for batch in batches:
-            examples += [(np.frombuffer(own.as_buffer(), np.int32).copy(), label.as_py()) for own, label in zip(batch.column("own"), batch.column("label"), strict=True)]
+            for own, label in zip(batch.column("own"), batch.column("label"), strict=True):
+                size += len(own.as_buffer()) // 4
+                if size <= coordinates_in_all:
+                    examples.append((np.frombuffer(own.as_buffer(), np.int32).copy(), label.as_py()))
         where, weight, bias = train(examples) if examples else (np.zeros(0, np.int64), np.zeros(0), -30.0)
         arrays = [pa.array(np.append(where, -1)), pa.array(np.append(weight, bias))]
         yield pa.RecordBatch.from_arrays(arrays, ["place", "weight"])
 
-    light = chosen.mapInArrow(coordinates, "id long, label int, own binary")
+    light = chosen.mapInArrow(coordinates, f"id {sample.schema['id'].dataType.simpleString()}, label int, own binary")
+    light = light.groupBy("id", "label").agg(F.min("own").alias("own"))  # an id on many rows is one example
     ordered = light.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "own")
     model = ordered.mapInArrow(trained, "place long, weight double").toPandas()  # at most SPACE weights
     if model.empty:

@@ -63,3 +63,19 @@ def test_features():
     assert len(features(b"a b c")) == 6 and len(features(b"a")) == 1 and len(features(None)) == len(features(b" .")) == 0
     assert (features(b"A b, C") == features(b"a B c")).all() and len(features("é è".encode())) == 3
     assert len(features(b"a a a a")) == 3
+
+
+def test_an_id_on_many_rows_is_one_example(spark, documents):
+    rows, labels = corpus(600)
+    docs, known = tables(spark, documents, rows, labels)
+    plain = toxicity.fit(docs, known)
+    chosen = next(i for i, _, _ in labels if not held(i))
+    copies = tables(spark, documents, rows + [rows[chosen]] * 3000, labels)[0]
+    again = toxicity.fit(copies, known)
+    assert all((a == b).all() for a, b in zip(plain[:2], again[:2])) and plain[2] == again[2]
+
+
+def test_features_of_the_sample_are_bounded(spark, documents):
+    rows, labels = corpus(200)
+    docs, known = tables(spark, documents, rows, labels)
+    assert len(toxicity.fit(docs, known, coordinates_in_all=0)[0]) == 0 and toxicity.fit(docs, known, coordinates_in_all=0)[2] == -30.0
