@@ -4,7 +4,12 @@ Each language has a probability for every piece of a fixed public vocabulary. Th
 all ways to cut it into pieces, by the forward algorithm; a text's is the product over its words, and the score is the
 language's posterior under equal priors. Piece probabilities are learned by expectation maximisation (forward-backward)
 from the word counts of at most `ROWS_PER_LANGUAGE` documents of each language and `SAMPLE_ROWS` in all, those with the
-smallest hash of their id. Words are runs of letters, lower-cased, behind a word mark. Scoring streams over all documents.
+smallest hash of their id. Words are runs of letters, lower-cased, behind a word mark. Scoring streams over all documents,
+once for every group of languages whose tables take `TABLE_BYTES`; the best language and the sum of all likelihoods go along.
+
+Rows that share a doc_id and a language count once in training, with the least of their texts, and are scored row by row.
+Very long texts are scored whole. Ties go to the first language by name. Original columns travel in one struct, so no name
+clashes. A text that is null or has no letter, and any text if nothing could be learned, is `und` with score 0.
 """
 
 from __future__ import annotations
@@ -17,17 +22,21 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from agencylens.llm.shared import held_out, packed, shipped
+from agencylens.llm.shared import discard, held_out, packed, shipped, stored
 
 #: Where the vocabulary lies, and the bounds of the training sample.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROWS_PER_LANGUAGE, SAMPLE_ROWS = 1024, 1 << 14
+#: Hash bins that a language's ids are ranked in before they are ranked as a whole.
+BINS = 64
+#: Bytes of piece tables that one pass over the documents brings along.
+TABLE_BYTES = 32 << 20
 ROUNDS = 3
 #: Count added to every piece; probability of a single character that is no piece, in any language.
 SMOOTH, UNKNOWN = 0.02, 1e-7
 MARK = "▁"
-#: Words that a task remembers.
-REMEMBERED = 300_000
+#: Logarithms of words that a task remembers, a number for each language.
+REMEMBERED = 2_400_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -85,7 +94,7 @@ class Lattice:
     def log_probability(self, words: list[str], table: np.ndarray) -> np.ndarray:
         """(word, language): logarithm of the sum over all segmentations."""
         out = np.zeros((len(words), table.shape[1]))
-        for rows in _by_length(words):
+        for rows in _by_length(words, 160_000 // max(8, table.shape[1])):
             own = [words[i] for i in rows]
             out[rows] = self.forward(self.arcs(own), table)[1][:, -1]
         return out
@@ -131,15 +140,27 @@ def learned(lattice: Lattice, words: list[str], counts: np.ndarray, rounds: int
     return np.append(probability, [UNKNOWN, 0.0])
 
 
-def fit(docs: DataFrame, vocabulary: list[str]) -> tuple[list[str], np.ndarray]:
-    """Languages in order and their (piece, language) table.
+def sampled(docs: DataFrame) -> DataFrame:
+    """Columns id and language of the training sample, at most `SAMPLE_ROWS` rows.
+
+    Ids are ranked within (language, bin of their hash), then what is left of each bin within the language.
+    """
+    id_hash = F.xxhash64("id")
+    known = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), F.col("lang").alias("language")).distinct()
+    first = lambda *keys: F.row_number().over(Window.partitionBy("language", *keys).orderBy(id_hash, "id"))
+    low = known.withColumn("bin", F.pmod(id_hash, F.lit(BINS))).withColumn("turn", first("bin")).filter(F.col("turn") <= ROWS_PER_LANGUAGE)
+    own = low.withColumn("turn", first()).filter(F.col("turn") <= ROWS_PER_LANGUAGE)
+    return own.orderBy("turn", "language").limit(SAMPLE_ROWS).select("id", "language")
+
+
+def fit(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Columns language and table, its piece probabilities.
 
     The sample's ids are broadcast, `SAMPLE_ROWS` at most; the words of one language's sample meet in one task, counted.
     """
-    known = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), F.col("lang").alias("language"))
-    turn = F.row_number().over(Window.partitionBy("language").orderBy(F.xxhash64("id"), "id"))
-    sample = known.withColumn("turn", turn).filter(F.col("turn") <= ROWS_PER_LANGUAGE).orderBy("turn", "language").limit(SAMPLE_ROWS)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample.select("id", "language")), F.col("doc_id") == F.col("id"))
+    sample = sampled(docs)
+    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(sample), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("language")))
+    texts = rows.groupBy("id", "language").agg(F.min("text").alias("text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,51 +181,83 @@ def fit(docs: DataFrame, vocabulary: list[str]) -> tuple[list[str], np.ndarray]:
         return pd.DataFrame({"language": [pdf["language"].iloc[0]], "table": [table.tolist()]})
 
     words = texts.mapInArrow(counted, "language string, word string, n long").groupBy("language", "word").agg(F.sum("n").alias("n"))
-    rows = words.groupBy("language").applyInPandas(maximised, "language string, table array<double>").collect()  # a table for each language
-    rows.sort(key=lambda r: r["language"])
-    table = np.zeros((len(vocabulary) + 2, len(rows)))
-    for k, row in enumerate(rows):
-        table[:, k] = row["table"]
-    return [r["language"] for r in rows], table
+    return words.groupBy("language").applyInPandas(maximised, "language string, table array<double>")
 
 
-def identified(docs: DataFrame, keep: list[str] | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Struct `doc` of the kept columns, `lang_pred` and `score` of every whole text.
+class _Remembered:
+    """Logarithms of words under some languages, computed once a task while there is room."""
 
-    A text that is null or has no letter, and any text if nothing could be learned, is `und` with score 0. Of equally
-    likely languages the first by name is taken.
-    """
-    known = pieces(vocabulary)
-    languages, table = fit(docs, known)
-    shared = shipped(docs.sparkSession, (known, languages, table), "the piece tables")
-    rows = packed(docs, keep, text=F.col("text"))
+    def __init__(self, vocabulary: list[str], table: np.ndarray) -> None:
+        self.lattice, self.table = Lattice(vocabulary), table
+        self.most = max(1, REMEMBERED // table.shape[1])
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.logs = np.zeros((0, self.table.shape[1]))
 
-    def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, languages, table = shared.value
-        lattice, seen, logs = Lattice(known), {}, np.zeros((0, len(languages)))
+    def learn(self, texts: list[list[str]]) -> None:
+        if len(self.place) > self.most:
+            self.forget()
+        fresh = list(dict.fromkeys(w for own in texts for w in own if w not in self.place))
+        if fresh:
+            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
+            self.logs = np.concatenate([self.logs, self.lattice.log_probability(fresh, self.table)])
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return self.logs[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))].sum(axis=0)
+
+
+def _compared(rows: DataFrame, vocabulary: list[str], languages: list[str], table: np.ndarray) -> DataFrame:
+    """The rows with the best of these and all former languages, its logarithm and that of the sum over languages."""
+    shared = shipped(rows.sparkSession, (vocabulary, languages, table), "the piece tables")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, languages, table = shared.value
+        known = _Remembered(vocabulary, table)
         for batch in batches:
-            predicted, scores = [], []
+            best, top, total = (batch.column(c).to_pylist() for c in ("best", "top", "total"))
             for at in range(0, batch.num_rows, 256):
                 texts = batch.column("text").slice(at, 256).to_pylist()
                 said = [words_of(t) for t in texts]
-                if len(seen) > REMEMBERED:
-                    seen, logs = {}, logs[:0]
-                fresh = list(dict.fromkeys(w for own in said for w in own if w not in seen))
-                if fresh and languages:
-                    seen.update(zip(fresh, range(len(seen), len(seen) + len(fresh)), strict=True))
-                    logs = np.concatenate([logs, lattice.log_probability(fresh, table)])
-                for text, own in zip(texts, said, strict=True):
-                    if not languages or not own or not has_letter(text):
-                        predicted.append(UNDETERMINED)
-                        scores.append(0.0)
+                known.learn(said)
+                for i, (text, own) in enumerate(zip(texts, said, strict=True), at):
+                    if not own or not has_letter(text):
                         continue
-                    total = logs[np.fromiter(map(seen.__getitem__, own), np.int64, len(own))].sum(axis=0)
-                    best = int(total.argmax())
-                    predicted.append(languages[best])
-                    scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())], ["doc", "lang_pred", "score"])
+                    logs = known.of(own)
+                    first = int(logs.argmax())
+                    here = float(logs[first] + np.log(np.exp(logs - logs[first]).sum()))
+                    total[i] = here if best[i] is None else float(np.logaddexp(total[i], here))
+                    if best[i] is None or logs[first] > top[i]:
+                        best[i], top[i] = languages[first], float(logs[first])
+            columns = [batch.column("doc"), batch.column("text"), pa.array(best, pa.string()), pa.array(top, pa.float64()), pa.array(total, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "text", "best", "top", "total"])
+
+    return rows.mapInArrow(compare, rows.schema)
 
-    return rows.mapInArrow(identify, f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double")
+
+def identified(docs: DataFrame, keep: list[str] | None = None, vocabulary: str = VOCABULARY, table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """Struct `doc` of the kept columns, `lang_pred` and `score` of every whole text.
+
+    The tables are written to the shared folder, a row for each language. Where they take more than `table_bytes`, the
+    documents are passed once for each group of languages, with what is known so far written in between.
+    """
+    known = pieces(vocabulary)
+    tables = stored(fit(docs, known))
+    names = sorted(r["language"] for r in tables.select("language").collect())  # SAMPLE_ROWS at most
+    most = max(1, table_bytes // (8 * (len(known) + 2)))
+    nothing = {"best": F.lit(None).cast("string"), "top": F.lit(None).cast("double"), "total": F.lit(None).cast("double")}
+    rows, former = packed(docs, keep, text=F.col("text"), **nothing), None
+    for at in range(0, len(names), most):
+        if at:
+            rows = stored(rows)
+            if former is not None:
+                discard(former)
+            former = rows
+        group = names[at : at + most]
+        own = {r["language"]: r["table"] for r in tables.filter(F.col("language").isin(group)).collect()}  # table_bytes
+        rows = _compared(rows, known, group, np.array([own[name] for name in group]).T)
+    return rows.select("doc", F.coalesce("best", F.lit(UNDETERMINED)).alias("lang_pred"), F.coalesce(F.exp(F.col("top") - F.col("total")), F.lit(0.0)).alias("score"))
 
 
 def language_report(docs: DataFrame) -> DataFrame:

@@ -87,3 +87,24 @@ def test_nothing_to_learn(documents):
     docs = documents([(1, "some text", None), (2, None, None)])
     assert {tuple(r)[2:] for r in language.language_report(docs).collect()} == {("und", 0.0)}
     assert language.language_report(docs.limit(0)).collect() == []
+
+
+def test_groups_of_languages_give_what_all_at_once_give(documents):
+    words = ("der die und ", "the of and ", "le la et ", "il lo e ", "el los y ")
+    docs = documents([(i, words[i % 5] * (1 + i % 3) + words[(i + 1) % 5], f"l{i % 5}") for i in range(80)] + [(200, None, None), (201, "12", None)])
+    whole = {r["doc"]["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identified(docs).collect()}
+    for group in (1, 2):
+        parts = language.identified(docs, table_bytes=group * 8 * (len(language.pieces()) + 2)).collect()
+        assert len(parts) == len(whole) == 82
+        for r in parts:
+            name, score = whole[r["doc"]["doc_id"]]
+            assert r["lang_pred"] == name and abs(r["score"] - score) < 1e-9
+
+
+def test_an_id_on_many_rows_is_learned_once(documents):
+    rows = [(i, ("der die und ", "the of and ")[i % 2], ("de", "en")[i % 2]) for i in range(40)]
+    chosen = next(r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2)
+    known = language.pieces()
+    fitted = lambda r: {x["language"]: x["table"] for x in language.fit(documents(r), known).collect()}
+    assert fitted(rows) == fitted(rows + [chosen] * 2000)
+    assert language.sampled(documents(rows + [chosen] * 2000)).count() == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40))
