@@ -1,10 +1,14 @@
 """HTML extraction by line-block distribution.
 
 Markup is stripped to lines, one for each block of the page. Lines of menus, adverts, forms and other containers that are
-not the article weigh nothing, nor do lines that are mostly links, nor, where the page marks its article or main part,
-lines outside of it. The weights, which are text lengths, are summed over sliding windows of `WINDOW` lines; a section
-surges where a sum exceeds `SURGE`, begins where that rise left 0, and dives where the sum is back at 0. The text between
-is kept, of every section that weighs at least `SHARE` of the heaviest. Where nothing surges, every rise from 0 counts.
+not the article weigh nothing, nor do lines that are mostly links and say less than `SAID` beside them, nor, where the page
+marks its article or main part, lines outside of it. The weights, which are text lengths, are summed over sliding windows of
+`WINDOW` lines; a section surges where a sum exceeds `SURGE`, begins where that rise left 0, and dives where the sum is back
+at 0. The text between is kept, of every section that surges. Where nothing surges, every rise from 0 counts whose section
+weighs at least `SHARE` of the heaviest.
+
+A page that is null or empty, or has no text, gives no block. Very long pages are read whole, in one walk. Repeated pages are
+read alike, row by row. Original columns travel in one struct, so no name clashes; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from agencylens.llm.shared import packed
 
-WINDOW, SURGE, SHARE = 3, 80, 0.25
+WINDOW, SURGE, SHARE, SAID = 3, 80, 0.25, 20
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.DOTALL
@@ -45,6 +49,10 @@ PAGE_NAMES = frozenset("header masthead topbar branding".split())
 #: Those that an article element itself can have, as comments and teasers do; words before which a name tells of a layout.
 ARTICLE_NAMES = frozenset("ad advert comment comments reply related recommended promo sponsored teaser".split())
 LAYOUT = frozenset("has with no without".split())
+#: Elements of a marked article whose id can name what is not the article; other elements' ids are anchors to what they say.
+CONTAINERS = frozenset(("div", "aside"))
+#: Whole ids by which readers' comments are known in any element.
+ARTICLE_IDS = frozenset("comments comment-list commentlist comment-section disqus disqus_thread".split())
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _ARTICLE = re.compile(r"<(?:article|main)\b", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z0-9]+")
@@ -65,8 +73,8 @@ def _hidden(own: dict[str, str]) -> bool:
     return "hidden" in own or own.get("aria-hidden", "").lower() == "true" or "display:none" in own.get("style", "").replace(" ", "").lower()
 
 
-def _named(own: dict[str, str], names: frozenset[str]) -> bool:
-    for k in ("class", "id", "role"):
+def _named(own: dict[str, str], names: frozenset[str], by_id: bool = True) -> bool:
+    for k in ("class", "id", "role") if by_id else ("class", "role"):
         words = [w.lower() for w in _CAMEL.split(own.get(k, ""))]
         if any(w in names and (not i or words[i - 1] not in LAYOUT) for i, w in enumerate(words)):
             return True
@@ -88,8 +96,8 @@ def lines(html: str, reopen: bool = False) -> list[Line]:
     def close() -> None:
         text = " ".join(unescape("".join(said)).split())
         if text:
-            in_links = len(" ".join(unescape("".join(linked)).split()))
-            out.append(Line(text, 0 if 2 * in_links > len(text) else len(text), marked > 0))
+            beside = len(text) - len(" ".join(unescape("".join(linked)).split()))
+            out.append(Line(text, len(text) if 2 * beside >= len(text) else beside if beside >= SAID else 0, marked > 0))
         said.clear()
         linked.clear()
 
@@ -134,7 +142,7 @@ def lines(html: str, reopen: bool = False) -> list[Line]:
             continue
         own = _attributes(raw)
         names = ARTICLE_NAMES if name == "article" else frozenset() if name == "main" else NAMES if marked else NAMES | PAGE_NAMES
-        if name not in ("body", "html") and (name in OUTSIDE and not (name == "header" and marked) or own and (_hidden(own) or _named(own, names))):
+        if name not in ("body", "html") and (name in OUTSIDE and not (name == "header" and marked) or own and (_hidden(own) or _named(own, names, not marked or name in CONTAINERS or own.get("id", "").lower() in ARTICLE_IDS))):
             close()
             out.append(Line("", 0, marked > 0))
             skip.append(name)
@@ -147,7 +155,7 @@ def lines(html: str, reopen: bool = False) -> list[Line]:
 
 
 def sections(weights: list[int], window: int = WINDOW, surge: int = SURGE, share: float = SHARE) -> list[tuple[int, int]]:
-    """(first, last + 1) of the lines between each surge's rise from 0 and its dive to 0, of the sections that weigh enough."""
+    """(first, last + 1) of the lines between each surge's rise from 0 and its dive to 0; without a surge, of the sections that weigh enough."""
     n = len(weights)
     sums = [sum(weights[i : i + window]) for i in range(n)]
     runs, i = [], 0
@@ -159,9 +167,10 @@ def sections(weights: list[int], window: int = WINDOW, surge: int = SURGE, share
             first = next(k for k in range(start, i) if weights[k])
             runs.append((first, i, max(sums[start:i]), sum(weights[start:i])))
         i += 1
-    found = [r for r in runs if r[2] > surge] or runs
-    heaviest = max((r[3] for r in found), default=0)
-    return [(a, b) for a, b, _, mass in found if mass >= share * heaviest]
+    if found := [(a, b) for a, b, most, _ in runs if most > surge]:
+        return found
+    heaviest = max((mass for *_, mass in runs), default=0)
+    return [(a, b) for a, b, _, mass in runs if mass >= share * heaviest]
 
 
 def weighed(page: list[Line]) -> list[Line]:

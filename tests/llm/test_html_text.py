@@ -1,3 +1,5 @@
+from hypothesis import given, strategies as st
+
 from agencylens.llm import html_text
 from agencylens.llm.html_text import main_blocks, sections
 
@@ -67,3 +69,43 @@ def test_pages_of_the_tables(spark, small):
         body = re.search(r"<article>(.*?)(?:</article>|$)", row["html"], re.S)[1]
         blocks = (" ".join(unescape(re.sub(r"<[^>]*>?", "", b)).split()) for b in re.split(r"</?(?:p|h1|br)>", body))
         assert row["text"] == " ".join(b for b in blocks if b)
+
+
+def by_definition(weights, window=3, surge=80, share=0.25):
+    """Lines of sections, each cut out by looking at every window of the page."""
+    rising = [any(weights[k] for k in range(i, min(i + window, len(weights)))) for i in range(len(weights))]
+    groups, kept = [], []
+    for i, up in enumerate(rising):
+        if up and i and rising[i - 1]:
+            groups[-1].append(i)
+        elif up:
+            groups.append([i])
+    tops = [max(sum(weights[i : i + window]) for i in g) for g in groups]
+    masses = [sum(weights[i] for i in g) for g in groups]
+    for g, top, mass in zip(groups, tops, masses, strict=True):
+        if top > surge or (max(tops) <= surge and mass >= share * max(masses)):
+            kept += [i for i in g if any(weights[g[0] : i + 1])]
+    return kept
+
+
+@given(st.lists(st.sampled_from([0, 0, 0, 5, 20, 40, 90]), max_size=30))
+def test_sections_equal_their_definition(weights):
+    assert [i for a, b in sections(weights) for i in range(a, b)] == by_definition(weights)
+
+
+def test_every_section_that_surges_is_kept():
+    stripped = "<div class='share'>Share</div><div class='ad'>Buy</div><div class='newsletter'>Mail</div>"
+    html = page("".join(f"<p>{LONG}</p>" for _ in range(40)) + stripped + f"<p>{LONG}</p><p>End.</p>")
+    assert main_blocks(html) == [LONG] * 41 + ["End."]
+
+
+def test_ids_of_an_article_are_anchors():
+    html = page(f"<article><p>{LONG}</p><section id='discussion'><h2 id='search-results'>Results</h2><p>{LONG}</p></section><section id='related-work'><p>More.</p></section><section id='comments'><p>Reader: no</p></section><div id='newsletter'>Mail</div></article>")
+    assert main_blocks(html) == [LONG, "Results", LONG, "More."]
+
+
+def test_paragraphs_of_links_belong_to_the_text_around_them():
+    first = "As <a>this much longer title of another page, which all of it is a link, and a second one</a> said here before:"
+    html = page(f"<ul><li><a>Home</a> |</li><li><a>About</a></li></ul><p>{first}</p><p>{LONG}</p><p><a>{LONG}</a></p><p>{LONG}</p>")
+    plain = "As this much longer title of another page, which all of it is a link, and a second one said here before:"
+    assert main_blocks(html) == [plain, LONG, LONG, LONG]
