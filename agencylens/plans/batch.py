@@ -12,6 +12,7 @@ from ..operators.score import Metric, agency_score
 from ..sources.sinks import drop_table, publish_tables, stage_table
 from .dataset import Store, agency_base, agency_dataset, agency_features, agency_profile
 from .history import history_base
+from .incremental import update_history
 
 
 @dataclass(frozen=True)
@@ -55,16 +56,19 @@ def get_dataset(
     as_of_ms: int,
     n_periods: int = 12,
     store: Store | None = None,
+    history: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(history, agency data set).
 
     Without ``store`` nothing runs. With it, what is read more than once is written
     and read back: the history, an output and the input of the features, and the
-    small tables that cut points and medians need as a whole.
+    small tables that cut points and medians need as a whole. ``history`` is one that
+    is stored already.
     """
-    history = reported_history(inputs, pivot, start, look_back, segments)
-    if store is not None:
-        history = store(history, "history")
+    if history is None:
+        history = reported_history(inputs, pivot, start, look_back, segments)
+        if store is not None:
+            history = store(history, "history")
     base = agency_base(inputs.agency_segments, inputs.agency_master, segments)
     features = agency_features(history, segments, n_periods, store=store)
     return history, agency_dataset(agency_profile(base, as_of_ms, store), features)
@@ -81,6 +85,7 @@ def run_batch(
     metrics: Mapping[str, Metric] | None = None,
     orientation: str = "reference",
     method: str = "window",
+    changed_from: int | None = None,
 ) -> None:
     """Build and save ``<table_out>_history`` and ``<table_out>``, and the scores if ``scored_table`` is named.
 
@@ -89,6 +94,10 @@ def run_batch(
     ones and take their names together at the end. An error propagates and leaves
     the former tables; tables in between are dropped either way. ``metrics``,
     ``orientation`` and ``method`` are those of ``agency_score``.
+
+    With ``changed_from``, the stored history is kept and brought up to date (see
+    ``update_history``) for sources that changed from that period on. Its first
+    period must still be that of this run: one more period, one more in ``n_periods``.
     """
     spark = inputs.calendar.sparkSession
     start, look_back = period_bounds(inputs.calendar, pivot, n_periods)
@@ -104,7 +113,18 @@ def run_batch(
         return spark.table(passing[-1])
 
     try:
-        _, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods, keep)
+        stored = None
+        if changed_from is not None:
+            table = f"{table_out}_history"
+            first = spark.table(table).agg(F.min("period")).first()[0]
+            if first is not None and first < start:
+                raise ValueError(f"{table} begins at {first}, this run at {start}")
+            update_history(
+                table, inputs.snapshot, inputs.ledger, start, pivot, look_back, segments,
+                inputs.snapshot_order, inputs.ledger_order, changed_from,
+            )
+            stored = spark.table(table).where(F.col("period").between(start, pivot))
+        _, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods, keep, stored)
         staged[table_out] = stage_table(dataset, table_out)
         if scored_table is not None:
             scored = agency_score(spark.table(staged[table_out]), metrics, orientation, method)

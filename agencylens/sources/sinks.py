@@ -125,6 +125,23 @@ def _replace_partitions(df: DataFrame, name: str) -> None:
     spark.catalog.refreshTable(_quoted(name))
 
 
+def replace_partitions(df: DataFrame, name: str, values: Mapping[str, Sequence[int]]) -> None:
+    """Make ``df`` the whole content of the partitions that hold the given values of one partition column.
+
+    Those without a row in ``df`` are dropped; partitions of other values stay as they are.
+    """
+    spark = df.sparkSession
+    ((column, wanted),) = values.items()
+    present = {r[0] for r in df.select(column).distinct().collect()}  # one row a partition
+    if present - set(wanted):
+        raise ValueError(f"rows of other partitions than {column} = {sorted(wanted)}")
+    if present:
+        _replace_partitions(df, name)
+    for value in sorted(set(wanted) - present):
+        spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS PARTITION (`{column}` = {int(value)})")
+    spark.catalog.refreshTable(_quoted(name))
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write CSV part files with a header, in parallel."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -601,6 +601,12 @@ def _own_statements() -> dict[str, str]:
             f"""SELECT * REPLACE ({_d("balance")} AS balance, {_d("required_payment")} AS required_payment, {_d("collected")} AS collected,
                 {_d("auto_charge")} AS auto_charge, {_d("captation")} AS captation) FROM history WHERE period BETWEEN 199502 AND 200103""",
         ),
+        "batch_update_history": v(
+            _HISTORY_VIEWS,
+            history,
+            f"""SELECT * REPLACE ({_d("balance")} AS balance, {_d("required_payment")} AS required_payment, {_d("collected")} AS collected,
+                {_d("auto_charge")} AS auto_charge, {_d("captation")} AS captation) FROM history WHERE period BETWEEN 199502 AND 200103""",
+        ),
         "table_sink": v(("v_ledger",), {"p": _payments("entity_id")}, f"SELECT entity_id, period, {_d('payment')} AS payment, payment_indicator FROM p"),
         "csv_sink": v(("v_ledger",), {"p": _payments("entity_id")}, f"SELECT entity_id, period, {_d('payment')} AS payment, payment_indicator FROM p"),
         "agency_base": v(("v_base",), {}, "SELECT * FROM v_base"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
@@ -25,6 +26,8 @@ from . import adapters, views
 
 # The whole span of the order data: one look-back period, then all others.
 LOOK_BACK, FIRST, PIVOT = 199501, 199502, 200103
+# The last of the earlier run's periods, and the first that the update brings.
+KNOWN, ADDED = 200004, 200101
 ENTRY, ENTRY_END = 200003, 200103
 LEGAL = (4, 5)
 ALL_SEGMENTS = (1, 2, 3, 4, 5)
@@ -391,9 +394,8 @@ def _own_name(spark, name):
     return f"agencylens_{name}_{re.sub('[^0-9a-zA-Z]', '_', spark.sparkContext.applicationId)}"
 
 
-def _batch(spark, sf_dir, **scoring):
-    """Run the batch over all periods and return its table's name."""
-    inputs = Inputs(
+def _inputs(spark, sf_dir):
+    return Inputs(
         views.calendar(spark, sf_dir),
         views.snapshot(spark, sf_dir),
         views.ledger(spark, sf_dir),
@@ -402,6 +404,11 @@ def _batch(spark, sf_dir, **scoring):
         views.SNAPSHOT_ORDER,
         views.LEDGER_ORDER,
     )
+
+
+def _batch(spark, sf_dir, **scoring):
+    """Run the batch over all periods and return its table's name."""
+    inputs = _inputs(spark, sf_dir)
     name = _own_name(spark, "batch")
     run_batch(inputs, PIVOT, LEGAL, AS_OF_MS, name, N_PERIODS, f"{name}_scored", **scoring)
     return name
@@ -417,6 +424,18 @@ def batch_run_history(spark, sf_dir):
     return spark.table(f"{_batch(spark, sf_dir)}_history")
 
 
+@_query
+def batch_update_history(spark, sf_dir):
+    """A run before the last three periods were known, then one that brings its history up to date."""
+    inputs = _inputs(spark, sf_dir)
+    before = lambda df: df.where(F.col("period") < ADDED)
+    name = _own_name(spark, "updated")
+    earlier = replace(inputs, snapshot=before(inputs.snapshot), ledger=before(inputs.ledger))
+    run_batch(earlier, KNOWN, LEGAL, AS_OF_MS, name, N_PERIODS - 3)
+    run_batch(inputs, PIVOT, LEGAL, AS_OF_MS, name, N_PERIODS, changed_from=ADDED)
+    return spark.table(f"{name}_history")
+
+
 @_query
 def batch_run_scored(spark, sf_dir):
     return _rounded(spark.table(f"{_batch(spark, sf_dir, method='split')}_scored"))

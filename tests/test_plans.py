@@ -7,7 +7,7 @@ from agencylens.operators.latest import latest_per_key
 from agencylens.operators.ledger import ledger_by_entity_period
 from agencylens.operators.population import entity_population, restrict_to
 from agencylens.operators.transitions import with_arrears_roll, with_required_payment, with_segment_transitions
-from agencylens.plans import batch, check, dataset, funnels, history
+from agencylens.plans import batch, check, dataset, funnels, history, incremental
 from agencylens.sources import catalog, codes, naming, sinks
 from agencylens.verification import queries, views
 
@@ -252,3 +252,84 @@ def test_dataset_check(spark, small):
     assert report.totals.first()["n_rows"] == 50
     assert report.profile.count() == len(base.columns)
     assert report.frequencies.select("column").distinct().count() == len(check.CHECKED_COLUMNS)
+
+
+def _updated(spark, name, before, after, periods, changed_from, looked_back=199901):
+    """A history stored from the former sources, the same brought up to date, and what was written for it."""
+    schema = "entity_id string, period int, segment int, arrears int, balance int, last_payment int, last_arrears_payment int, n_actions int, n_actions_unpaid int, record_id int"
+    entry = "entity_id string, period int, agency int, plan string, capital int, interest int, auto_charge int, captation int, manager int, entry_id int"
+
+    def sources(rows):
+        snapshot = spark.createDataFrame([(e, p, s, 1 + p % 3, 100, 5, p % 7, 1, 0, i) for i, (e, p, s, _) in enumerate(rows)], schema)
+        ledger = spark.createDataFrame([(e, p, 7, None, paid, 0, 0, 0, 1, i) for i, (e, p, _, paid) in enumerate(rows) if paid is not None], entry)
+        return snapshot, ledger
+
+    orders = (["record_id"], []), (["entry_id"], [])
+    first, pivot = periods
+    whole = lambda rows, upto: history.history_base(*sources(rows), looked_back, (5,), *orders).where(F.col("period").between(first, upto))
+    sinks.save_table(whole(before, pivot), name, partition_by=("period",))
+    held = _files(spark, name)
+    written = incremental.update_history(name, *sources(after), first, pivot, looked_back, (5,), *orders, changed_from)
+    assert {f for f in held if f[0] not in written} == {f for f in _files(spark, name) if f[0] not in written}
+    full, got = whole(after, pivot), spark.table(name)
+    assert got.select(*full.columns).exceptAll(full).count() == full.exceptAll(got.select(*full.columns)).count() == 0
+    return written, full
+
+
+def _files(spark, name):
+    return {tuple(r) for r in spark.table(name).select("period", "_metadata.file_path", "_metadata.file_modification_time").distinct().collect()}
+
+
+def test_history_is_updated_where_something_changed(spark):
+    former = [(f"e{i}", p, 5, 10) for i in range(6) for p in range(199901, 199905)]
+    former += [("gap", 199902, 5, 3), ("late", 199901, 1, 2), ("late", 199902, 1, 2), ("none", 199903, 1, 1), ("null", 199902, None, 1)]
+    new = [(f"e{i}", 200001, 5, 10) for i in range(6)]
+    later = lambda rows: _updated(spark, "kept_history_1", former, former + rows, (199902, 200001), 200001)
+    assert later(new)[0] == [199904, 200001]  # the new period, and the one before it for what follows
+    assert later([*new, ("gap", 200001, 5, 1)])[0] == [199902, 199904, 200001]
+    assert later([("late", 200001, 5, 1)])[0] == [199902, 200001]  # belongs to the population from now on, with all its periods
+    assert later([("new", 200001, 5, 1)])[0] == [200001]
+    assert later([("null", 200001, 5, 1)])[0] == [199902, 200001]
+    assert later([])[0] == []
+
+
+def test_written_are_the_new_period_and_the_one_before(spark):
+    former = [(f"e{i}", p, 5, 10) for i in range(6) for p in range(199901, 199905)]
+    rows = [(f"e{i}", 200001, 5, 10) for i in range(6)]
+    written, _ = _updated(spark, "kept_history_2", former, former + rows, (199902, 200001), 200001)
+    assert written == [199904, 200001]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_history_2_")]
+
+
+def test_replaced_records_and_periods_that_end_up_empty(spark):
+    former = [(f"e{i}", p, 5, 10) for i in range(4) for p in (199901, 199902, 199903)]
+    replaced = [(e, p, 1 if p == 199903 else s, paid) for e, p, s, paid in former]  # same records, another segment
+    assert _updated(spark, "kept_history_3", former, replaced, (199902, 199903), 199903)[0] == [199902, 199903]
+    gone = [(e, p, s, None if p == 199903 else paid) for e, p, s, paid in former]  # no ledger rows any more
+    written, full = _updated(spark, "kept_history_4", former, gone, (199902, 199903), 199903)
+    assert written == [199902, 199903] and {r[0] for r in full.select("period").distinct().collect()} == {199902}
+    lost = [(e, p, 1 if p == 199903 else s, paid) for e, p, s, paid in [("x", 199902, 1, 1), ("x", 199903, 5, 1), *former]]
+    assert _updated(spark, "kept_history_5", [("x", 199902, 1, 1), ("x", 199903, 5, 1), *former], lost, (199902, 199903), 199903)[0] == [199902, 199903]
+
+
+def test_update_needs_a_history_of_the_same_start(spark, small):
+    args = inputs(spark, small), queries.LEGAL, queries.AS_OF_MS
+    batch.run_batch(args[0], 200004, *args[1:], "moved", n_periods=8)
+    with pytest.raises(ValueError, match="begins at"):
+        batch.run_batch(args[0], 200101, *args[1:], "moved", n_periods=8, changed_from=200101)
+    with pytest.raises(ValueError, match="look-back"):
+        incremental.update_history("moved_history", args[0].snapshot, args[0].ledger, 199902, 200101, 199901, queries.LEGAL, views.SNAPSHOT_ORDER, views.LEDGER_ORDER, 199901)
+    batch.run_batch(args[0], 200101, *args[1:], "moved", n_periods=9, changed_from=200101)
+    batch.run_batch(args[0], 200101, *args[1:], "whole", n_periods=9)
+    for name in ("", "_history"):
+        assert spark.table("moved" + name).exceptAll(spark.table("whole" + name)).count() == 0
+        assert spark.table("moved" + name).count() == spark.table("whole" + name).count() > 0
+
+
+def test_partitions_are_replaced_as_a_whole(spark):
+    rows = spark.range(12).selectExpr("id", "CAST(id % 3 AS INT) AS part")
+    sinks.save_table(rows, "parted", partition_by=("part",))
+    sinks.replace_partitions(spark.sql("SELECT 99L AS id, 1 AS part"), "parted", {"part": [1, 2]})
+    assert sorted(map(tuple, spark.table("parted").collect())) == [(0, 0), (3, 0), (6, 0), (9, 0), (99, 1)]
+    with pytest.raises(ValueError, match="other partitions"):
+        sinks.replace_partitions(spark.sql("SELECT 1L AS id, 5 AS part"), "parted", {"part": [1]})
