@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType
 from ..functions.amounts import flag, ratio_or_zero
 from ..functions.periods import tenure_days
 from ..functions import validity
+from .quantile import exact_quantiles
 
 CAPACITIES = ("ideal_capacity", "min_capacity", "max_capacity")
 
@@ -39,29 +40,40 @@ def repair_status_dates(df: DataFrame, as_of_ms: int) -> DataFrame:
     return df.withColumn("end_ms", repaired.cast("long"))
 
 
-def null_outliers(df: DataFrame, columns: Sequence[str] = CAPACITIES, quantile: float = OUTLIER_QUANTILE) -> DataFrame:
+def _quantiles(df: DataFrame, columns: Sequence[str], quantile: float, group: str | None, method: str) -> DataFrame:
+    """One struct column ``_quantiles`` per ``_group``, or one row for all.
+
+    ``sketch`` is one aggregation, exact up to about ``SKETCH_ACCURACY`` rows a
+    group; ``exact`` selects by rank, for groups of any size.
+    """
+    if method == "exact":
+        found = exact_quantiles(df, columns, quantile, group)
+        return found.select(*([] if group is None else ["_group"]), F.struct(*columns).alias("_quantiles"))
+    if method != "sketch":
+        raise ValueError(f"unknown method {method!r}")
+    rows = df if group is None else df.groupBy(F.col(group).alias("_group"))
+    return rows.agg(F.struct(*[F.percentile_approx(c, F.lit(quantile), F.lit(SKETCH_ACCURACY)).alias(c) for c in columns]).alias("_quantiles"))
+
+
+def null_outliers(df: DataFrame, columns: Sequence[str] = CAPACITIES, quantile: float = OUTLIER_QUANTILE, method: str = "sketch") -> DataFrame:
     """Set 0 and values above the column's quantile to NULL.
 
     The quantiles are one row computed inside the plan (scalar subquery), not a
     separate job that blocks the driver. No quantile (all NULL) means no cut.
     """
-    cuts = df.agg(
-        F.struct(*[F.percentile_approx(c, F.lit(quantile), F.lit(SKETCH_ACCURACY)).alias(c) for c in columns]).alias("cuts")
-    ).scalar()
-    with_cuts = df.withColumn("_cuts", cuts)
+    with_cuts = df.withColumn("_cuts", _quantiles(df, columns, quantile, None, method).scalar())
     cleaned = {c: F.when((F.col(c) == 0) | (F.col(c) > F.col("_cuts").getField(c)), None).otherwise(F.col(c)) for c in columns}
     return with_cuts.withColumns(cleaned).drop("_cuts")
 
 
-def impute_group_medians(df: DataFrame, columns: Sequence[str] = CAPACITIES, group: str = "segment") -> DataFrame:
+def impute_group_medians(df: DataFrame, columns: Sequence[str] = CAPACITIES, group: str = "segment", method: str = "sketch") -> DataFrame:
     """Every NULL of ``columns`` becomes the median of its group; a group without any value keeps NULL.
 
     All groups count. How the few medians meet the rows is the planner's choice.
     """
-    middle = {c: F.percentile_approx(c, F.lit(0.5), F.lit(SKETCH_ACCURACY)) for c in columns}
-    medians = df.groupBy(F.col(group).alias("_group")).agg(F.struct(*[m.alias(c) for c, m in middle.items()]).alias("_median"))
+    medians = _quantiles(df, columns, 0.5, group, method)
     matched = df.join(medians, F.col(group).eqNullSafe(F.col("_group")), "left")
-    return matched.withColumns({c: F.coalesce(c, F.col("_median").getField(c)) for c in columns}).drop("_group", "_median")
+    return matched.withColumns({c: F.coalesce(c, F.col("_quantiles").getField(c)) for c in columns}).drop("_group", "_quantiles")
 
 
 def enforce_capacity_bounds(df: DataFrame) -> DataFrame:

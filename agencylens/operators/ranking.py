@@ -6,10 +6,11 @@ Two ways to the same ranks; the caller chooses, no count does:
             passes through one task, sorted with spill.
 ``split``   each value's rank is (rows in better buckets) + (rows with a better
             value in its own bucket). Equal rows and equal values are counted
-            map-side before they are shuffled, and buckets come from quantile
-            cut points of the distinct values, so neither a large group nor a
-            value shared by many rows is ordered by one task. What is left to
-            AQE's skew join is the last join, which puts the ranks back on rows.
+            map-side before they are shuffled, and buckets are cut at the
+            distinct values with the smallest hashes, the same ones however often
+            they are evaluated, so neither a large group nor a value shared by
+            many rows is ordered by one task. What is left to AQE's skew join is
+            the last join, which puts the ranks back on rows.
 
 Values are compared in their own type: NaN is larger than any number, NULL comes
 last, and a NULL group is a group.
@@ -23,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType
 
+from .quantile import bucket_of, cuts_by_hash
+
 BUCKETS = 256
 
 
@@ -107,17 +110,11 @@ def _by_split(df, group, directions, percent, suffix):
     long = rows.select(*[F.col(c).alias(k) for c, k in zip(alike, keys)], F.col(group).alias("_group"), "_n", F.inline(F.array(*structs)))
     counted = long.groupBy("_group", "_metric", *order).agg(F.sum("_n").alias("_n"))
 
-    values = [F.col(c).cast("double") for c in order[2:]]
-    number = F.coalesce(*values)
-    quantiles = F.lit([i / BUCKETS for i in range(1, BUCKETS)])
-    cuts = counted.groupBy("_group", "_metric").agg(F.percentile_approx(number, quantiles, F.lit(BUCKETS * 10)).alias("_cuts"))
-    cuts = _renamed(cuts, ["_group", "_metric"])
-    # the cast keeps the order, so buckets do too; NaN lies before or behind, NULL behind all
-    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < number)), F.lit(0))
-    bucket = F.when(F.col("_missing"), BUCKETS + 1).when(F.col("_nan") != 0, F.when(F.col("_nan") > 0, BUCKETS).otherwise(-1)).otherwise(below)
     at = ["_group", "_metric"]
+    place = F.struct(*order)  # compares field by field, NULL lowest, as the sort inside a bucket does
+    cuts = _renamed(cuts_by_hash(counted, at, place, BUCKETS), at)
     bucketed = counted.join(cuts, _same([F.col(c) for c in at], [F.col(f"r{c}") for c in at]), "left")
-    bucketed = bucketed.select(*at, *order, "_n", bucket.alias("_bucket"))
+    bucketed = bucketed.select(*at, *order, "_n", bucket_of(place).alias("_bucket"))
 
     per_bucket = bucketed.groupBy(*at, "_bucket").agg(F.sum("_n").alias("_in_bucket"))
     by_metric = Window.partitionBy(*at)

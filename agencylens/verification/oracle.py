@@ -615,6 +615,14 @@ def _own_statements() -> dict[str, str]:
         "status_date_repair": v(("v_base",), {}, f"{base_keys}, status, {_STATUS} FROM v_base"),
         "outlier_null": v(("v_base",), {"c": _outliers("v_base")}, f"{base_keys}, {capacities} FROM c"),
         "median_impute": v(("v_base",), {"c": _outliers("v_base"), "m": _medians("c")}, f"{base_keys}, {capacities} FROM m"),
+        "median_impute_exact": v(("v_base",), {"c": _outliers("v_base"), "m": _medians("c")}, f"{base_keys}, {capacities} FROM m"),
+        "balance_quantiles": v(
+            ("v_snapshot",),
+            {},
+            " UNION ALL ".join(
+                f"SELECT segment, CAST({q} AS DOUBLE) AS quantile, {_d(f'quantile_disc(balance, {q})')} AS balance FROM v_snapshot GROUP BY segment" for q in (0.5, 0.95)
+            ),
+        ),
         "capacity_bounds": v(("v_base",), {}, f"{base_keys}, ideal_capacity, {_BOUNDS} FROM v_base"),
         "capacity_ratios": v(("v_base",), {}, f"{base_keys}, {_CAPACITY_RATIOS} FROM v_base"),
         "field_validity": v(("v_base",), {}, f"{base_keys}, {_VALIDITY} FROM v_base"),

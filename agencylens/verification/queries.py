@@ -11,7 +11,7 @@ from pyspark.sql.types import DecimalType
 
 from ..functions.keys import composite_key
 from ..functions.periods import epoch_ms_to_date, period_from_parts
-from ..operators import calendar, cohort, latest, ledger, population, profiling, quality, ratios, transitions, trend, visits
+from ..operators import calendar, cohort, latest, ledger, population, profiling, quality, quantile, ratios, transitions, trend, visits
 from ..operators.score import agency_score
 from ..plans.batch import Inputs, run_batch
 from ..plans.check import CHECKED_COLUMNS
@@ -330,6 +330,20 @@ def median_impute(spark, sf_dir):
     return quality.impute_group_medians(cleaned).select("agency", "segment", *quality.CAPACITIES)
 
 
+@_query
+def median_impute_exact(spark, sf_dir):
+    cleaned = quality.null_outliers(_base(spark, sf_dir), method="exact")
+    return quality.impute_group_medians(cleaned, method="exact").select("agency", "segment", *quality.CAPACITIES)
+
+
+@_query
+def balance_quantiles(spark, sf_dir):
+    """Exact medians and outlier cuts of every account's balance by segment; far more values than a sketch holds exactly."""
+    records = views.snapshot(spark, sf_dir)
+    cuts = [quantile.exact_quantiles(records, ["balance"], q, "segment").select(F.col("_group").alias("segment"), F.lit(q).alias("quantile"), "balance") for q in (0.5, quality.OUTLIER_QUANTILE)]
+    return cuts[0].unionByName(cuts[1])
+
+
 @_query
 def capacity_bounds(spark, sf_dir):
     return quality.enforce_capacity_bounds(_base(spark, sf_dir)).select("agency", "segment", *quality.CAPACITIES)

@@ -1,14 +1,16 @@
 """Operators on hand-made frames, one case per trap."""
 
 import datetime
+import math
 import random
 from collections import Counter
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from agencylens.operators import calendar, cohort, latest, ledger, population, profiling, quality, ranking, ratios, rollup
+from agencylens.operators import calendar, cohort, latest, ledger, population, profiling, quality, quantile, ranking, ratios, rollup
 from agencylens.operators import transitions, trend, visits
 from agencylens.operators.score import Metric, agency_score
 from agencylens.plans.rollup import agency_history_rollup
@@ -241,9 +243,46 @@ def test_outliers_and_medians(spark):
     assert filled.where("segment = 2").first()["ideal_capacity"] is None
 
 
+def _by_rank(values, q):
+    """The plain definition: sorted, at rank ceil(q n), the first at least."""
+    known = sorted(v for v in values if v is not None)
+    return known[max(1, math.ceil(Fraction(str(q)) * len(known))) - 1] if known else None
+
+
+@pytest.mark.parametrize("q", [0, 0.05, 0.5, 0.95, 1])
+def test_exact_quantiles_of_any_group(spark, q):
+    """100,000 values in a group, ties, negatives, NULL groups and values, against sorting."""
+    roll = random.Random(5)
+    data = [("many", roll.randrange(-(10**9), 10**9), roll.choice([None, 1, 2, 2])) for _ in range(100_000)]
+    data += [(None, v, None) for v in (3, 3, None, -1)] + [("none", None, None)] + [("tied", 7, v) for v in range(40)]
+    df = spark.createDataFrame(data, "g string, a long, b int")
+    found = {r["_group"]: (r["a"], r["b"]) for r in quantile.exact_quantiles(df, ["a", "b"], q, "g", buckets=16).collect()}
+    assert found == {g: tuple(_by_rank([r[k] for r in data if r[0] == g], q) for k in (1, 2)) for g in ("many", "tied", None)}
+    everything = quantile.exact_quantiles(df, ["a", "b"], q, buckets=16).collect()
+    assert [tuple(r) for r in everything] == [tuple(_by_rank([r[k] for r in data], q) for k in (1, 2))]
+
+
+def test_exact_quantiles_of_decimals_and_nan(spark):
+    df = spark.createDataFrame([(Decimal(i) / 4, float("nan") if i > 5 else float(i)) for i in range(10)], "d decimal(12,2), x double")
+    assert quantile.exact_quantiles(df, ["d"], 0.5).first()["d"] == Decimal("1.00")
+    assert quantile.exact_quantiles(df, ["x"], 0.5).first()["x"] == 4.0
+    assert math.isnan(quantile.exact_quantiles(df, ["x"], 0.9).first()["x"])
+    assert [tuple(r) for r in quantile.exact_quantiles(df.limit(0), ["d"], 0.5).collect()] == [(None,)]
+    for bad in (lambda: quantile.exact_quantiles(df, ["d", "x"], 0.5), lambda: quantile.exact_quantiles(df, ["d"], 2), lambda: quality.null_outliers(df, ["d"], method="?")):
+        with pytest.raises((TypeError, ValueError)):
+            bad()
+
+
+def test_outliers_and_medians_by_rank_equal_the_sketch_where_that_is_exact(spark):
+    df = spark.createDataFrame([(1, i) for i in range(101)] + [(2, 0), (None, None), (None, 9)], "segment int, ideal_capacity int")
+    both = [quality.impute_group_medians(quality.null_outliers(df, ["ideal_capacity"], method=m), ["ideal_capacity"], method=m) for m in ("sketch", "exact")]
+    assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+
+
 def test_all_missing_capacity_is_no_failure(spark):
     df = spark.createDataFrame([(1, None)], "segment int, ideal_capacity int")
-    assert quality.null_outliers(df, ["ideal_capacity"]).first()["ideal_capacity"] is None
+    for method in ("sketch", "exact"):
+        assert quality.null_outliers(df, ["ideal_capacity"], method=method).first()["ideal_capacity"] is None
 
 
 # --- ratios and trends ----------------------------------------------------------------
