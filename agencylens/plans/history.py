@@ -54,13 +54,14 @@ def history_base(
     snapshot_order: tuple[Sequence[str], Sequence[str]],
     ledger_order: tuple[Sequence[str], Sequence[str]],
     as_of_period: int | None = None,
+    prefilter_bits: int | None = None,
 ) -> DataFrame:
     """Client-period history: last snapshot records with movements and recoveries.
 
     The population is every entity seen in the segments after ``start_period``.
     Both sources are restricted to it before anything is aggregated or shuffled
     for more: its scan reads three columns, and whether it is broadcast or merged
-    is the planner's choice by its size. Rows are one per entity and period before anything is shuffled by entity,
+    is the planner's choice by its size; ``prefilter_bits`` as in ``restrict_to``. Rows are one per entity and period before anything is shuffled by entity,
     so an entity with very many records does not burden one task, and the result
     stays laid out by entity for the aggregations that follow.
 
@@ -76,8 +77,8 @@ def history_base(
         seen = seen.where(F.col("period") <= as_of_period)
     usable = ledger.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull() & F.col("agency").isNotNull())
     chosen = entity_population(seen, start_period, segments)
-    records = restrict_to(seen, chosen).select("entity_id", "period", ranked_record(*snapshot_order, SNAPSHOT_FIELDS).alias("_record"))
-    sides = records.unionByName(_ledger_side(restrict_to(usable, chosen), ledger_order), allowMissingColumns=True)
+    records = restrict_to(seen, chosen, prefilter_bits=prefilter_bits).select("entity_id", "period", ranked_record(*snapshot_order, SNAPSHOT_FIELDS).alias("_record"))
+    sides = records.unionByName(_ledger_side(restrict_to(usable, chosen, prefilter_bits=prefilter_bits), ledger_order), allowMissingColumns=True)
     by_period = sides.groupBy("entity_id", "period").agg(
         F.max("_record").alias("_record"),
         F.max("_entry").alias("_entry"),

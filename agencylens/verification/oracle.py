@@ -616,6 +616,12 @@ def _own_statements() -> dict[str, str]:
         "outlier_null": v(("v_base",), {"c": _outliers("v_base")}, f"{base_keys}, {capacities} FROM c"),
         "median_impute": v(("v_base",), {"c": _outliers("v_base"), "m": _medians("c")}, f"{base_keys}, {capacities} FROM m"),
         "median_impute_exact": v(("v_base",), {"c": _outliers("v_base"), "m": _medians("c")}, f"{base_keys}, {capacities} FROM m"),
+        "ledger_of_population": v(
+            ("v_snapshot", "v_ledger"),
+            {},
+            f"""SELECT entity_id, period, agency, manager, {_d("capital")} AS capital FROM v_ledger
+                WHERE entity_id IN (SELECT entity_id FROM v_snapshot WHERE period > 200102 AND segment IN {LEGAL})""",
+        ),
         "balance_quantiles": v(
             ("v_snapshot",),
             {},

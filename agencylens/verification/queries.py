@@ -203,6 +203,14 @@ def segment_transitions(spark, sf_dir):
     )
 
 
+@_query
+def ledger_of_population(spark, sf_dir):
+    """The population's ledger rows, with the filter that goes before the exchange."""
+    members = population.entity_population(views.snapshot(spark, sf_dir), PIVOT - 1, LEGAL)
+    own = population.restrict_to(views.ledger(spark, sf_dir), members, prefilter_bits=1 << 20)
+    return own.select("entity_id", "period", "agency", "manager", "capital")
+
+
 # --- history and ratios ---------------------------------------------------------------
 
 

@@ -54,6 +54,12 @@ def test_sources_are_restricted_before_they_are_aggregated(spark, small, plan_of
         assert below.count("LeftSemi") == sources and "LeftSemi" not in above, name
 
 
+def test_history_with_prefilter_is_the_same(spark, small):
+    args = (views.snapshot(spark, small), views.ledger(spark, small), 199901, queries.LEGAL, views.SNAPSHOT_ORDER, views.LEDGER_ORDER)
+    plain, filtered = history.history_base(*args), history.history_base(*args, prefilter_bits=1 << 16)
+    assert plain.schema == filtered.schema and plain.exceptAll(filtered).count() == 0 and filtered.exceptAll(plain).count() == 0
+
+
 def test_contact_funnel_looks_back_over_the_turn_of_the_year(spark):
     snapshot = spark.createDataFrame(
         [("a", p, 3, 1, 40, 2, 1, p) for p in (202552, 202601)],
