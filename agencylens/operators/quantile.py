@@ -1,5 +1,11 @@
 """Exact quantiles of groups of any size, by distributed selection.
 
+Two ways to the same values. ``bracketed_quantiles`` takes any number of quantiles
+in two readings of its input: a mergeable sketch, evaluated once, brackets each
+wanted rank; what lies below, inside and above is counted, and only the distinct
+values inside are sorted. ``exact_quantiles`` needs no sketch and reads its input
+sixteen times:
+
 Equal values are counted map-side first. The distinct values with the smallest
 hashes then cut a group into buckets, the buckets' counts say which one holds the
 wanted rank, and only that one goes on. A bucket has a few hundredths of its
@@ -13,7 +19,7 @@ it depends on the order in which its parts are merged.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,6 +27,10 @@ from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, Inte
 
 BUCKETS, LEVELS = 256, 2
 
+# A sketch's rank is off by 1 / SKETCH_ACCURACY of the rows at most, and a
+# bracket reaches MARGIN times as far to each side. Its width never changes a result.
+SKETCH_ACCURACY, MARGIN = 10_000, 4
+
 _AT = ("_group", "_column")
 
 
@@ -50,6 +60,62 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], quantile: float, grou
     return found.agg(*picked) if group is None else found.groupBy("_group").agg(*picked)
 
 
+def bracketed_quantiles(df: DataFrame, wanted: Mapping[str, tuple[str, float]], group: str | None = None, whole: Column | None = None) -> DataFrame:
+    """Quantiles by name, each of a (column, quantile): a row per group, columns ``_group`` and the names; without a group one row.
+
+    Quantiles, values and groups are those of ``exact_quantiles``, except that a
+    group in which no column has a value has a row of NULLs. About a thousandth of a
+    group's distinct values reach the task that sorts them. A rank outside its
+    bracket, which the sketch rules out, is an error.
+
+    With ``whole``, both readings compute this number of every row; ``_read`` is its
+    maximum. It keeps a reading from being narrowed, so that both are of one shuffle.
+    """
+    for _, quantile in wanted.values():
+        if not 0 <= quantile <= 1:
+            raise ValueError(f"quantile {quantile} is not between 0 and 1")
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    wide = _common_type(df, columns)
+    read = F.lit(0).cast("long") if whole is None else whole
+    key = F.lit(0) if group is None else F.col(group)
+
+    def place(column: str) -> Column:
+        """Never falls as the value rises, and is no NaN."""
+        value = F.col(column).cast("double")
+        return F.nanvl(value, F.lit(float("inf")))
+
+    reach = MARGIN / SKETCH_ACCURACY
+    ends = [F.percentile_approx(place(c), [max(0.0, q - reach), min(1.0, q + reach)], SKETCH_ACCURACY).alias(n) for n, (c, q) in wanted.items()]
+    rows = df if group is None else df.groupBy(key.alias("_for"))
+    brackets = rows.agg(F.struct(*ends, F.max(read).alias("_read")).alias("_ends"))
+    met = F.col("_ends._read").isNotNull()
+    if group is None:
+        met_rows = df.join(F.broadcast(brackets), met)  # one row
+    else:
+        met_rows = df.join(brackets, key.eqNullSafe(F.col("_for")) & met)
+
+    def cell(name: str, column: str) -> Column:
+        low, high = (F.col("_ends").getField(name).getItem(i) for i in range(2))
+        side = F.when(F.col(column).isNotNull(), F.when(place(column) < low, -1).when(place(column) > high, 1).otherwise(0))
+        return F.struct(F.lit(name).alias("_name"), side.alias("_side"), F.when(side == 0, F.col(column).cast(wide)).alias("_value"))
+
+    long = met_rows.select(key.alias("_group"), read.alias("_read"), F.inline(F.array(*[cell(n, c) for n, (c, _) in wanted.items()])))
+    counted = long.groupBy("_group", "_name", "_side", "_value").agg(F.count(F.lit(1)).alias("_n"), F.max("_read").alias("_read"))
+    counted = counted.withColumn("_n", F.when(F.col("_side").isNotNull(), F.col("_n")).otherwise(0))
+    own = Window.partitionBy("_group", "_name")
+    so_far = F.sum("_n").over(own.orderBy("_side", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumns({"_so_far": so_far, "_all": F.sum("_n").over(own)})
+    picked = []
+    for name, (column, quantile) in wanted.items():
+        # exact: a decimal share of a whole number
+        rank = F.greatest(F.ceil(F.lit(Decimal(str(quantile))) * F.col("_all")).cast("long"), F.lit(1).cast("long")) - (F.col("_so_far") - F.col("_n"))
+        value = F.when(F.col("_side") == 0, F.col("_value")).otherwise(F.raise_error(F.lit(f"the sketch missed quantile {name}")).cast(wide))
+        picked.append(F.max(F.when((F.col("_name") == name) & rank.between(1, F.col("_n")), value)).cast(df.schema[column].dataType).alias(name))
+    if whole is not None:
+        picked.append(F.max("_read").alias("_read"))
+    return ranked.agg(*picked) if group is None else ranked.groupBy("_group").agg(*picked)
+
+
 def _common_type(df: DataFrame, columns: Sequence[str]) -> DataType:
     types = [df.schema[c].dataType for c in columns]
     if all(isinstance(t, IntegralType) for t in types):

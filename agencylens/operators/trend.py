@@ -1,8 +1,8 @@
 """Trends of the weekly ratios per agency and segment.
 
 A series is one agency-segment's observed periods, so its window and its
-regression are bounded by the calendar. Cut points are quantiles over all
-series, computed in the plan as one row of merged sketches.
+regression are bounded by the calendar. Cut points are exact quantiles over all
+series, computed in the plan as one row.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.labels import stability_label, tercile_label, trend_profile_label, with_enough_periods
 from ..functions.amounts import flag
 from ..functions.stats import ols_slope
-from .quality import SKETCH_ACCURACY
+from .quantile import bracketed_quantiles
 from .ratios import AGENCY_SEGMENT
 
 # Weekly measure -> name of its trend, in the order of the established layout.
@@ -60,21 +60,15 @@ def trend_slopes(weekly: DataFrame, null_handling: str = "reference") -> DataFra
 
 
 def cut_points(slopes: DataFrame) -> DataFrame:
-    """One row with struct ``cuts``: terciles of every slope, median deviation.
-
-    Mergeable sketches: every task sends one of each, whatever the number of series.
-    """
+    """One row with struct ``_cuts``: terciles of every slope, median deviation, by rank over all series."""
     low, high = TERCILES
-
-    def quantile(column: str, q: float, name: str) -> Column:
-        return F.percentile_approx(column, F.lit(q), F.lit(SKETCH_ACCURACY)).alias(name)
-
-    fields = [quantile("std_efficiency", 0.5, "median_std_efficiency")]
+    wanted = {"median_std_efficiency": ("std_efficiency", 0.5)}
     for name in TRENDS.values():
-        fields += [quantile(f"slope_{name}", low, f"low_{name}"), quantile(f"slope_{name}", high, f"high_{name}")]
+        wanted |= {f"low_{name}": (f"slope_{name}", low), f"high_{name}": (f"slope_{name}", high)}
     # of all columns, so that this reads the very shuffle that the labels read, not a narrower one
-    read = F.max(F.xxhash64(*[F.col(c) for c in slopes.columns])).alias("read")
-    return slopes.agg(F.struct(*fields, read).alias("_cuts"))
+    whole = F.xxhash64(*[F.col(c) for c in slopes.columns])
+    found = bracketed_quantiles(slopes, wanted, whole=whole)
+    return found.select(F.struct(*wanted, F.col("_read").alias("read")).alias("_cuts"))
 
 
 def with_trend_labels(slopes: DataFrame) -> DataFrame:

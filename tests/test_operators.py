@@ -279,6 +279,36 @@ def test_outliers_and_medians_by_rank_equal_the_sketch_where_that_is_exact(spark
     assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
 
 
+def _scrambled(n):
+    """Distinct numbers 1 to n, far more than a sketch holds, in no order."""
+    return F.pmod(F.col("id") * 7919, F.lit(n)) + 1
+
+
+def test_trend_cut_points_are_exact_beyond_a_sketch(spark):
+    n = 150_001
+    value = _scrambled(n).cast("double")
+    slopes = spark.range(n).select("id", *[(F.when(F.col("id") % 3 > 0, value) if k == 1 else value).alias(f"slope_{t}") for k, t in enumerate(trend.TRENDS.values())], value.alias("std_efficiency"))
+    cuts = trend.cut_points(slopes).first()["_cuts"]
+    gaps = [r[0] for r in slopes.select("slope_arrears").collect()]
+    assert cuts["median_std_efficiency"] == 75_001
+    assert (cuts["low_arrears"], cuts["high_arrears"]) == (_by_rank(gaps, 0.33), _by_rank(gaps, 0.66))
+    assert {(cuts[f"low_{t}"], cuts[f"high_{t}"]) for t in trend.TRENDS.values() if t != "arrears"} == {(math.ceil(0.33 * n), math.ceil(0.66 * n))}
+
+
+@pytest.mark.parametrize("q", [0, 0.05, 0.5, 0.95, 1])
+def test_bracketed_quantiles_equal_the_selected_ones(spark, q):
+    roll = random.Random(6)
+    data = [("many", roll.gauss(0, 1), roll.choice([None, 1.0, float("nan"), -0.0])) for _ in range(60_000)]
+    data += [(None, 3.0, None), (None, float("inf"), None), ("none", None, None)] + [("tied", 7.0, 7.0)] * 40
+    df = spark.createDataFrame(data, "g string, a double, b double")
+    for group in (None, "g"):
+        selected = quantile.exact_quantiles(df, ["a", "b"], q, group)
+        bracketed = quantile.bracketed_quantiles(df, {"a": ("a", q), "b": ("b", q)}, group)
+        known = bracketed.where("a IS NOT NULL OR b IS NOT NULL")
+        assert sorted(map(str, selected.select(known.columns).collect())) == sorted(map(str, known.collect()))
+    assert [tuple(r) for r in quantile.bracketed_quantiles(df.limit(0), {"x": ("a", q)}).collect()] == [(None,)]
+
+
 def test_all_missing_capacity_is_no_failure(spark):
     df = spark.createDataFrame([(1, None)], "segment int, ideal_capacity int")
     for method in ("sketch", "exact"):
