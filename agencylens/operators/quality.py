@@ -10,14 +10,12 @@ from pyspark.sql.types import NumericType
 from ..functions.amounts import flag, ratio_or_zero
 from ..functions.periods import tenure_days
 from ..functions import validity
-from .quantile import exact_quantiles
+from .quantile import SKETCH_ACCURACY, bracketed_quantiles
 
 CAPACITIES = ("ideal_capacity", "min_capacity", "max_capacity")
 
-# Quantile above which a capacity counts as an outlier, and the
-# accuracy of the mergeable quantile sketch (exact up to about that many rows).
+# Fixed value: quantile above which a capacity counts as an outlier.
 OUTLIER_QUANTILE = 0.95
-SKETCH_ACCURACY = 10_000
 
 
 def drop_sparse_rows(df: DataFrame) -> DataFrame:
@@ -43,11 +41,11 @@ def repair_status_dates(df: DataFrame, as_of_ms: int) -> DataFrame:
 def _quantiles(df: DataFrame, columns: Sequence[str], quantile: float, group: str | None, method: str) -> DataFrame:
     """One struct column ``_quantiles`` per ``_group``, or one row for all.
 
-    ``sketch`` is one aggregation, exact up to about ``SKETCH_ACCURACY`` rows a
-    group; ``exact`` selects by rank, for groups of any size.
+    ``exact`` selects by rank, for groups of any size; ``sketch`` is one
+    aggregation, exact up to about ``SKETCH_ACCURACY`` rows a group.
     """
     if method == "exact":
-        found = exact_quantiles(df, columns, quantile, group)
+        found = bracketed_quantiles(df, {c: (c, quantile) for c in columns}, group)
         return found.select(*([] if group is None else ["_group"]), F.struct(*columns).alias("_quantiles"))
     if method != "sketch":
         raise ValueError(f"unknown method {method!r}")
@@ -55,7 +53,7 @@ def _quantiles(df: DataFrame, columns: Sequence[str], quantile: float, group: st
     return rows.agg(F.struct(*[F.percentile_approx(c, F.lit(quantile), F.lit(SKETCH_ACCURACY)).alias(c) for c in columns]).alias("_quantiles"))
 
 
-def null_outliers(df: DataFrame, columns: Sequence[str] = CAPACITIES, quantile: float = OUTLIER_QUANTILE, method: str = "sketch") -> DataFrame:
+def null_outliers(df: DataFrame, columns: Sequence[str] = CAPACITIES, quantile: float = OUTLIER_QUANTILE, method: str = "exact") -> DataFrame:
     """Set 0 and values above the column's quantile to NULL.
 
     The quantiles are one row computed inside the plan (scalar subquery), not a
@@ -66,7 +64,7 @@ def null_outliers(df: DataFrame, columns: Sequence[str] = CAPACITIES, quantile:
     return with_cuts.withColumns(cleaned).drop("_cuts")
 
 
-def impute_group_medians(df: DataFrame, columns: Sequence[str] = CAPACITIES, group: str = "segment", method: str = "sketch") -> DataFrame:
+def impute_group_medians(df: DataFrame, columns: Sequence[str] = CAPACITIES, group: str = "segment", method: str = "exact") -> DataFrame:
     """Every NULL of ``columns`` becomes the median of its group; a group without any value keeps NULL.
 
     All groups count. How the few medians meet the rows is the planner's choice.

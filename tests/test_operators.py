@@ -284,6 +284,16 @@ def _scrambled(n):
     return F.pmod(F.col("id") * 7919, F.lit(n)) + 1
 
 
+def test_outliers_and_medians_are_exact_beyond_a_sketch(spark):
+    n = 150_001
+    df = spark.range(n).select((F.col("id") % 2).cast("int").alias("segment"), "id", _scrambled(n).alias("ideal_capacity"))
+    cut = quality.null_outliers(df, ["ideal_capacity"])
+    assert cut.agg(F.max("ideal_capacity"), F.count("ideal_capacity")).first() == (math.ceil(0.95 * n),) * 2
+    values = {g: [r[0] for r in cut.where(f"segment = {g}").select("ideal_capacity").collect()] for g in (0, 1)}
+    filled = quality.impute_group_medians(cut, ["ideal_capacity"]).join(cut.where("ideal_capacity IS NULL").select("id"), "id", "left_semi")
+    assert {tuple(r) for r in filled.select("segment", "ideal_capacity").distinct().collect()} == {(g, _by_rank(v, 0.5)) for g, v in values.items()}
+
+
 def test_trend_cut_points_are_exact_beyond_a_sketch(spark):
     n = 150_001
     value = _scrambled(n).cast("double")
