@@ -9,8 +9,9 @@ Two ways to the same ranks; the caller chooses, no count does:
             map-side before they are shuffled, and buckets are cut at the
             distinct values with the smallest hashes, the same ones however often
             they are evaluated, so neither a large group nor a value shared by
-            many rows is ordered by one task. What is left to AQE's skew join is
-            the last join, which puts the ranks back on rows.
+            many rows is ordered by one task. What grows with the rows is merged,
+            never broadcast. What is left to AQE's skew join is the last join,
+            which puts the ranks back on rows.
 
 Values are compared in their own type: NaN is larger than any number, NULL comes
 last, and a NULL group is a group.
@@ -138,8 +139,9 @@ def _by_split(df, group, directions, percent, suffix):
         rank = (ahead + 1).cast("int")
     value = [*at, *order]
     ranks = _renamed(placed.select(*value, rank.alias("_rank")), value)
-    ranked = long.join(ranks, _same([F.col(c) for c in value], [F.col(f"r{c}") for c in value]))
+    # as many as distinct values: a broadcast's size is estimated from packed rows, and the driver would hold it unpacked
+    ranked = long.join(ranks.hint("merge"), _same([F.col(c) for c in value], [F.col(f"r{c}") for c in value]))
     wide = ranked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_metric") == c, F.col("_rank"))).alias(f"{c}{suffix}") for c in directions]
     )
-    return df.join(wide, _same([F.col(c) for c in alike], [F.col(k) for k in keys])).drop(*keys)
+    return df.join(wide.hint("merge"), _same([F.col(c) for c in alike], [F.col(k) for k in keys])).drop(*keys)

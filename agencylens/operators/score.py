@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -41,13 +41,16 @@ def agency_score(
     metrics: Mapping[str, Metric] | None = None,
     orientation: str = "reference",
     method: str = "window",
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Add a percentile score per metric, ``score_final``, ``rank`` and ``band``.
 
     ``reference`` orientation gives the best value the percentile 0 (direction
     +1 ranks descending); ``higher_is_better`` gives it 100. A NULL metric has a
     NULL percentile and adds 0. Ranks and percentiles are within the segment;
-    ``method`` is one of those of ``ranking``.
+    ``method`` is one of those of ``ranking``; ``split`` reads its input six times,
+    so the final rank holds the plan of the percentiles six times over and that of
+    ``df`` 36 times, unless ``store`` writes the percentiles and reads them back.
     """
     flip = {"reference": 1, "higher_is_better": -1}[orientation]
     used = {c: m for c, m in (metrics or DEFAULT_METRICS).items() if m.active and c in df.columns}
@@ -62,5 +65,7 @@ def agency_score(
     for c, m in used.items():
         score = score + F.coalesce(F.col(f"score_{c}_pct") * F.lit(m.weight / total), F.lit(0.0))
     scored = scored.withColumn("score_final", score)
+    if store is not None:
+        scored = store(scored, "percentiles")
     placed = with_ranks(scored, "segment", {"score_final": 1}, False, "_rank", method)
     return placed.withColumnRenamed("score_final_rank", "rank").withColumn("band", score_band_label(F.col("score_final")))

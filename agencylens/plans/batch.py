@@ -127,7 +127,7 @@ def run_batch(
         _, dataset = get_dataset(inputs, pivot, start, look_back, segments, as_of_ms, n_periods, keep, stored)
         staged[table_out] = stage_table(dataset, table_out)
         if scored_table is not None:
-            scored = agency_score(spark.table(staged[table_out]), metrics, orientation, method)
+            scored = agency_score(spark.table(staged[table_out]), metrics, orientation, method, keep if method == "split" else None)
             staged[scored_table] = stage_table(scored, scored_table)
         publish_tables(spark, staged)
     finally:

@@ -290,8 +290,16 @@ def agency_score_split(spark, sf_dir):
 
 def _scored(spark, sf_dir, method):
     features = _features(spark, sf_dir)
+    if method != "split":
+        return _rounded(agency_score(features, method=method))
+    name = _own_name(spark, "score")
+
+    def keep(df, part):
+        save_table(df, f"{name}_{part}")
+        return spark.table(f"{name}_{part}")
+
     # the split method reads its input several times
-    return _rounded(agency_score(features.persist() if method == "split" else features, method=method))
+    return _rounded(agency_score(keep(features, "features"), method=method, store=keep))
 
 
 def _rounded(scored):

@@ -127,6 +127,14 @@ def test_batch_run_takes_the_scoring(spark, small):
     assert by_segment and all(r["of_best"] == r["best"] for r in by_segment)
 
 
+def test_split_scores_read_stored_rows_and_broadcast_none_of_them(spark, small, plan_of):
+    """The plan once held the history 36 times, and the driver every rank."""
+    plan = plan_of(queries.registered()["agency_score_split"](spark, small))
+    assert "lineitem" not in plan and plan.count("FileScan") <= 12
+    merged = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(merged) == 2 and "BroadcastExchange" in plan
+
+
 def test_tables_come_back_if_one_cannot_be_named(spark):
     for name in ("one", "two"):
         sinks.save_table(spark.range(1), name)
