@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.amounts import flag, positive_sum
 from ..operators.latest import ranked_record
@@ -25,14 +25,16 @@ LEDGER_FIELDS = ("agency", "plan_active")
 
 
 def _ledger_side(usable, order) -> DataFrame:
-    return with_plan_flag(usable).select(
+    same_manager = Window.partitionBy("entity_id", "period", "manager").orderBy("manager")
+    first = (F.row_number().over(same_manager) == 1) & F.col("manager").isNotNull()
+    return with_plan_flag(usable).withColumn("_first", first).select(
         "entity_id",
         "period",
         ranked_record(*order, LEDGER_FIELDS).alias("_entry"),
         positive_sum("capital", "interest").alias("collected"),
         "auto_charge",
         "captation",
-        "manager",
+        flag(F.col("_first")).alias("new_manager"),
     )
 
 
@@ -72,6 +74,8 @@ def history_base(
     """
     # Both sources are cut to one row per entity and period in one aggregation
     # over their union: one shuffle for both, and no join of the two afterwards.
+    # A manager counts at its first row of the entity and period, so that the
+    # records meet one aggregation; a distinct count would put two more below it.
     seen = snapshot.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull())
     if as_of_period is not None:
         seen = seen.where(F.col("period") <= as_of_period)
@@ -85,7 +89,7 @@ def history_base(
         F.sum("collected").alias("collected"),
         F.sum("auto_charge").alias("auto_charge"),
         F.sum("captation").alias("captation"),
-        F.countDistinct("manager").alias("n_managers"),
+        F.coalesce(F.sum("new_manager"), F.lit(0)).alias("n_managers"),
     )
     observed = by_period.where(F.col("_record").isNotNull()).select(
         "entity_id",

@@ -347,3 +347,20 @@ def test_partitions_are_replaced_as_a_whole(spark):
     assert sorted(map(tuple, spark.table("parted").collect())) == [(0, 0), (3, 0), (6, 0), (9, 0), (99, 1)]
     with pytest.raises(ValueError, match="other partitions"):
         sinks.replace_partitions(spark.sql("SELECT 1L AS id, 5 AS part"), "parted", {"part": [1]})
+
+
+def test_managers_are_counted_without_an_aggregation_of_their_own(spark, plan_of):
+    snapshot = spark.createDataFrame(
+        [(e, 199902, 5, 1, 100, 5, 1, 1, 0, i) for i, e in enumerate("abcd")],
+        "entity_id string, period int, segment int, arrears int, balance int, last_payment int, last_arrears_payment int, n_actions int, n_actions_unpaid int, record_id int",
+    )
+    managers = [("a", 1), ("a", 1), ("a", 2), ("a", None), ("b", None), ("b", None), ("c", 3), ("c", 3)]
+    ledger = spark.createDataFrame(
+        [(e, 199902, 7, None, 1, 0, 0, 0, m, i) for i, (e, m) in enumerate(managers)],
+        "entity_id string, period int, agency int, plan string, capital int, interest int, auto_charge int, captation int, manager int, entry_id int",
+    )
+    built = history.history_base(snapshot, ledger, 199901, (5,), (["record_id"], []), (["entry_id"], []))
+    assert {(r["entity_id"], r["n_managers"]) for r in built.collect()} == {("a", 2), ("b", 0), ("c", 1)}
+    assert dict(built.dtypes)["n_managers"] == "bigint"
+    planned = plan_of(built).split("== Initial Plan ==")[-1]
+    assert planned.count("SortAggregate") == 2  # the partial one and the final one
