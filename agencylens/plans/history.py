@@ -57,6 +57,7 @@ def history_base(
     ledger_order: tuple[Sequence[str], Sequence[str]],
     as_of_period: int | None = None,
     prefilter_bits: int | None = None,
+    members: DataFrame | None = None,
 ) -> DataFrame:
     """Client-period history: last snapshot records with movements and recoveries.
 
@@ -68,7 +69,8 @@ def history_base(
     stays laid out by entity for the aggregations that follow.
 
     Entity-periods without ledger rows are left out at the end, after they have
-    served as neighbours. The ``*_order`` arguments are (ordering columns,
+    served as neighbours. ``members`` (``entity_id``) belong to the population
+    besides, whatever the given records say of them. The ``*_order`` arguments are (ordering columns,
     tie-break columns) of the last record. ``as_of_period`` hides later periods
     from the look-ahead columns.
     """
@@ -81,6 +83,8 @@ def history_base(
         seen = seen.where(F.col("period") <= as_of_period)
     usable = ledger.where((F.col("period") >= start_period) & F.col("entity_id").isNotNull() & F.col("agency").isNotNull())
     chosen = entity_population(seen, start_period, segments)
+    if members is not None:
+        chosen = chosen.union(members.select("entity_id")).distinct()
     records = restrict_to(seen, chosen, prefilter_bits=prefilter_bits).select("entity_id", "period", ranked_record(*snapshot_order, SNAPSHOT_FIELDS).alias("_record"))
     sides = records.unionByName(_ledger_side(restrict_to(usable, chosen, prefilter_bits=prefilter_bits), ledger_order), allowMissingColumns=True)
     by_period = sides.groupBy("entity_id", "period").agg(
